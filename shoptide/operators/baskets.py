@@ -140,7 +140,7 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
     if big is not None:
         # per product the large baskets it is in: at most `large` < min_count ids
         member = big.groupBy("product_id").agg(F.collect_set("order_id").alias("_in"))
-        pairs = _for_both(pairs, member, "left")
+        pairs = _for_both(settle(pairs), member, "left")
         both = F.size(F.array_intersect("_in_a", "_in_b"))
         both = F.when(F.col("_in_a").isNull() | F.col("_in_b").isNull(), 0).otherwise(both)
         pairs = pairs.withColumn("n_ab", F.col("n_ab") + both).filter(F.col("n_ab") >= known.min_count)

@@ -118,7 +118,6 @@ def user_recommendations(
     n_fallback: int = 10,
     weights: tuple[float, float] = BLEND_WEIGHTS,
     priority: Mapping[str, float] = TYPE_PRIORITY,
-    other: float = OTHER_PRIORITY,
 ) -> DataFrame:
     """The recommendation view, one row per user and recommended product, no limit per user."""
     # segment on the user's row, before it fans out
@@ -135,25 +134,38 @@ def user_recommendations(
     own = _own(per_source.select("source_id", F.col("source_id").alias("product_id")))
     links = own.unionByName(product_links(similarity, complementary))
     offers = (
-        _scored(links, facts, weights, priority, other)
-        .groupBy("source_id", "product_id")
-        .agg(F.max(F.struct(_merit().alias("_best"), "product_name", "category")).alias("_offer"))
+        _scored(links, facts, weights, priority, OTHER_PRIORITY)
+        .groupBy("source_id", "product_id", "product_name", "category")
+        .agg(F.max(_merit()).alias("_best"))
+        .select("source_id", "product_id", "product_name", "category", "_best.final_score", "_best.type")
     )
 
-    recommended = (
-        spread_join(base, offers, ["source_id"], hot_keys(per_source, ["source_id"]))
-        .groupBy("user_id", "segment_name", "product_id")
-        .agg(F.max("_offer").alias("_r"))
+    # The best row once more, now over all of a user's sources. A maximum per type keeps to plain
+    # numbers, which a hash aggregate can update in place; a maximum of structs would have to sort.
+    kinds = sorted(priority, key=lambda kind: (-priority[kind], kind))
+    best_of = {kind: F.max(F.when(F.col("type") == kind, F.col("final_score"))).alias(f"_{kind}") for kind in kinds}
+    place_of_unscored = F.min(
+        F.when(F.col("final_score").isNull(), F.array_position(F.lit(kinds), F.col("type")))
+    ).alias("_unscored")
+    best = F.greatest(*[F.col(f"_{kind}") for kind in kinds])
+    best_kind = F.coalesce(
+        *[F.when(F.col(f"_{kind}") == best, kind) for kind in kinds],
+        F.get(F.lit(kinds), (F.col("_unscored") - 1).cast("int")),
     )
     columns = [
         "user_id",
         "segment_name",
         "product_id",
-        F.col("_r.product_name").alias("product_name"),
-        F.col("_r.category").alias("category"),
-        F.col("_r._best.final_score").alias("recommendation_score"),
-        F.col("_r._best.type").alias("recommendation_type"),
+        "product_name",
+        "category",
+        best.alias("recommendation_score"),
+        best_kind.alias("recommendation_type"),
     ]
     if as_of is not None:
         columns.append(instant(as_of).alias("computed_date"))
-    return recommended.select(*columns)
+    return (
+        spread_join(base, offers, ["source_id"], hot_keys(per_source, ["source_id"]))
+        .groupBy("user_id", "segment_name", "product_id", "product_name", "category")
+        .agg(*best_of.values(), place_of_unscored)
+        .select(*columns)
+    )

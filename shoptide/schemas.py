@@ -7,35 +7,66 @@ themselves do not care about id types; strings here, longs elsewhere.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
-USERS = StructType.fromDDL("user_id string, name string, email string, gender string, signup_date date")
+_STRING, _DOUBLE, _INT, _LONG = StringType(), DoubleType(), IntegerType(), LongType()
+_DATE, _TIME = DateType(), TimestampType()
 
-ORDERS = StructType.fromDDL(
-    "order_id string, user_id string, order_date timestamp, order_status string, total_amount double"
-)
 
-ORDER_ITEMS = StructType.fromDDL(
-    "order_item_id string, order_id string, product_id string, user_id string, "
-    "quantity int, item_price double, item_total double"
-)
+def _row(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
+
 
-PRODUCTS = StructType.fromDDL(
-    "product_id string, product_name string, category string, brand string, price double, rating double"
+USERS = _row(user_id=_STRING, name=_STRING, email=_STRING, gender=_STRING, signup_date=_DATE)
+
+ORDERS = _row(order_id=_STRING, user_id=_STRING, order_date=_TIME, order_status=_STRING, total_amount=_DOUBLE)
+
+ORDER_ITEMS = _row(
+    order_item_id=_STRING,
+    order_id=_STRING,
+    product_id=_STRING,
+    user_id=_STRING,
+    quantity=_INT,
+    item_price=_DOUBLE,
+    item_total=_DOUBLE,
 )
 
-EVENTS = StructType.fromDDL(
-    "event_id string, user_id string, product_id string, event_type string, event_timestamp timestamp"
+PRODUCTS = _row(
+    product_id=_STRING, product_name=_STRING, category=_STRING, brand=_STRING, price=_DOUBLE, rating=_DOUBLE
 )
 
-REVIEWS = StructType.fromDDL(
-    "review_id string, order_id string, product_id string, user_id string, "
-    "rating int, review_text string, review_date timestamp"
+EVENTS = _row(event_id=_STRING, user_id=_STRING, product_id=_STRING, event_type=_STRING, event_timestamp=_TIME)
+
+REVIEWS = _row(
+    review_id=_STRING,
+    order_id=_STRING,
+    product_id=_STRING,
+    user_id=_STRING,
+    rating=_INT,
+    review_text=_STRING,
+    review_date=_TIME,
 )
 
-SEARCH_LOGS = StructType.fromDDL(
-    "search_id string, user_id string, session_id string, search_keyword string, category_filter string, "
-    "min_price double, max_price double, sort_by string, search_time timestamp"
+SEARCH_LOGS = _row(
+    search_id=_STRING,
+    user_id=_STRING,
+    session_id=_STRING,
+    search_keyword=_STRING,
+    category_filter=_STRING,
+    min_price=_DOUBLE,
+    max_price=_DOUBLE,
+    sort_by=_STRING,
+    search_time=_TIME,
 )
 
 TABLES = {
@@ -52,16 +83,27 @@ TABLES = {
 HEADER_ALIASES = {"order_data": "order_date"}
 
 # Messages on the activity topic; event_timestamp is epoch milliseconds.
-ACTIVITY_MESSAGE = StructType.fromDDL(
-    "user_id string, product_id string, product_name string, category string, "
-    "event_type string, event_timestamp double"
+ACTIVITY_MESSAGE = _row(
+    user_id=_STRING,
+    product_id=_STRING,
+    product_name=_STRING,
+    category=_STRING,
+    event_type=_STRING,
+    event_timestamp=_DOUBLE,
 )
 
 # Messages of the plain append feed.
-RAW_MESSAGE = StructType.fromDDL("user_id int, action string, item_id string, timestamp long")
+RAW_MESSAGE = _row(user_id=_INT, action=_STRING, item_id=_STRING, timestamp=_LONG)
 
 # computed_time is the end of the window in epoch seconds.
-REALTIME_VIEW = StructType.fromDDL(
-    "user_id string, product_id string, product_name string, category string, "
-    "view_count long, cart_count long, purchase_count long, trend_score double, computed_time long"
+REALTIME_VIEW = _row(
+    user_id=_STRING,
+    product_id=_STRING,
+    product_name=_STRING,
+    category=_STRING,
+    view_count=_LONG,
+    cart_count=_LONG,
+    purchase_count=_LONG,
+    trend_score=_DOUBLE,
+    computed_time=_LONG,
 )

@@ -1,0 +1,119 @@
+import pytest
+
+from shoptide.functions import spread
+from shoptide.operators import recommend as module
+from shoptide.operators.recommend import (
+    consumption_base,
+    rec_candidates,
+    score_candidates,
+    top_trending,
+    user_recommendations,
+)
+
+PROFILE = "user_id string, product_ids_in_latest_month array<string>"
+TRENDING = "product_id string, trend_score double"
+SIMILAR = "product_id_1 string, product_id_2 string, similarity_score double"
+TOGETHER = "product_id_1 string, product_id_2 string, complementary_score double"
+SEGMENTS = "user_id string, segment_name string"
+PRODUCTS = "product_id string, product_name string, category string"
+
+
+class Shop:
+    def __init__(self, spark, profile, trending=(), similar=(), together=(), segments=(), products=()):
+        made = lambda rows, schema: spark.createDataFrame(list(rows), schema)
+        self.profile, self.trending = made(profile, PROFILE), made(trending, TRENDING)
+        self.similar, self.together = made(similar, SIMILAR), made(together, TOGETHER)
+        self.segments, self.products = made(segments, SEGMENTS), made(products, PRODUCTS)
+
+    def by_steps(self):
+        base = consumption_base(self.profile, top_trending(self.trending))
+        scored = score_candidates(rec_candidates(base, self.similar, self.together), self.trending)
+        return {(r["user_id"], r["product_id"]): (r["type"], r["final_score"]) for r in scored.collect()}
+
+    def view(self):
+        return user_recommendations(
+            self.profile, self.trending, self.similar, self.together, self.segments, self.products
+        )
+
+    def by_view(self):
+        return {
+            (r["user_id"], r["product_id"]): (r["recommendation_type"], r["recommendation_score"])
+            for r in self.view().collect()
+        }
+
+
+def test_scores(spark):
+    shop = Shop(
+        spark,
+        [("u", ["A"])],
+        [("A", 50.0)],
+        [("A", "B", 0.9)],
+        [("A", "C", 0.5)],
+        [("u", "Low Frequency")],
+        [("A", "a", "Toys"), ("B", "b", "Books")],
+    )
+    wanted = {
+        ("u", "A"): ("consumption", 0.75),
+        ("u", "B"): ("similar", pytest.approx(0.36)),
+        ("u", "C"): ("complementary", 0.35),
+    }
+    assert shop.by_steps() == wanted
+    assert shop.by_view() == wanted
+    rows = {r["product_id"]: r for r in shop.view().collect()}
+    assert rows["A"]["segment_name"] == "Low Frequency" and rows["A"]["category"] == "Toys"
+    assert rows["C"]["product_name"] is None
+
+
+def test_trend_is_not_clipped_and_a_user_without_segment_stays(spark):
+    shop = Shop(spark, [("u", ["A", "A"])], [("A", 250.0)])
+    assert shop.by_view() == shop.by_steps() == {("u", "A"): ("consumption", 1.75)}
+    assert shop.view().first()["segment_name"] is None
+
+
+def test_best_branch_wins_and_ties_go_to_the_higher_priority(spark):
+    shop = Shop(
+        spark,
+        [("u", ["A", "B"])],
+        (),
+        [("A", "B", 0.9), ("A", "C", 0.7), ("A", "D", 0.1)],
+        [("A", "C", 8.0), ("A", "D", 9.0), ("A", "Z", 10.0)],
+    )
+    found = shop.by_steps()
+    assert found == shop.by_view()
+    assert found["u", "B"][0] == "consumption"
+    assert found["u", "C"] == ("similar", pytest.approx(0.28))  # 0.8 * 0.7 against 0.7 * 0.8
+    assert found["u", "D"][0] == "complementary"
+
+
+def test_users_without_purchases_get_the_trending_products(spark):
+    trending = [(f"T{i:02}", float(i)) for i in range(15)]
+    shop = Shop(spark, [("none", None), ("empty", []), ("buyer", ["T00"])], trending)
+    found = shop.by_view()
+    assert found == shop.by_steps()
+    for user in ("none", "empty"):
+        assert {p for u, p in found if u == user} == {f"T{i:02}" for i in range(5, 15)}
+    assert {kind for kind, _ in found.values()} == {"consumption"}
+
+
+def test_without_trending_products_such_users_are_absent(spark):
+    shop = Shop(spark, [("none", None), ("buyer", ["A"])])
+    assert set(shop.by_view()) == set(shop.by_steps()) == {("buyer", "A")}
+
+
+def test_unscored_links(spark):
+    shop = Shop(spark, [("u", ["A"])], (), [("A", "B", None), ("A", "C", None)], [("A", "C", 1.0)])
+    found = shop.by_view()
+    assert found == shop.by_steps()
+    assert found["u", "B"] == ("similar", None)
+    assert found["u", "C"][0] == "complementary"
+
+
+def test_product_most_users_have(spark, monkeypatch):
+    """The hot product is cut into slots on every join, with the same result."""
+    monkeypatch.setattr(module, "hot_keys", lambda c, k: spread.hot_keys(c, k, min_rows=10))
+    profile = [(f"u{i}", ["HOT"] if i % 3 else [f"P{i % 9}"]) for i in range(300)]
+    similar = [("HOT", f"P{i}", 0.9) for i in range(9)] + [(f"P{i}", "HOT", 0.8) for i in range(9)]
+    shop = Shop(spark, profile, [("HOT", 10.0)], similar, [("HOT", "P1", 2.0)])
+    found = shop.by_view()
+    assert found == shop.by_steps()
+    assert len(found) == 200 * 10 + 100 * 2
