@@ -4,10 +4,11 @@ One key may hold a third of all rows. Adaptive execution splits such a key only
 where both join sides come straight out of a shuffle; a side that is itself an
 aggregate on the join key does not. The helpers here do it in the plan instead.
 
-A key is hot when its row count passes both ``min_rows`` and ``share * all rows``, so
-at most ``1 / share`` keys can be hot: that bounds what gets broadcast, whatever the
-size of the data. A hot key is cut into slots of about ``min_rows`` rows, and the other
-side's rows of the key are copied to each, one copy per that many rows.
+A key is hot when it has more than ``min_rows`` rows and is among the ``max_keys``
+largest. So what is broadcast has at most ``max_keys`` rows whatever the size of the
+data, and a key left whole has at most ``max(min_rows, all rows / max_keys)`` rows. A hot
+key is cut into slots of about ``min_rows`` rows, and the other side's rows of the key are
+copied to each, one copy per that many rows.
 """
 
 from __future__ import annotations
@@ -17,20 +18,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1 / 20_000
+MAX_HOT_KEYS = 20_000
 MIN_HOT_ROWS = 1_000_000
 NULL_SLOTS = 1_024
 
 _SLOT, _PARTS = "_slot", "_parts"
 
 
+def count_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key as (keys, n); rows without a key are left out, ``add_slot`` spreads those anyway."""
+    known = rows.na.drop(subset=list(keys))
+    return known.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 def hot_keys(
-    counts: DataFrame, keys: Sequence[str], n: str = "n", share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS
+    counts: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
 ) -> DataFrame:
     """Hot keys of ``counts`` (one row per key, row count in ``n``) with their number of slots."""
-    total = counts.agg(F.sum(n)).scalar()
-    hot = counts.filter((F.col(n) > min_rows) & (F.col(n) > total * F.lit(float(share))))
-    return hot.select(*keys, F.ceil(F.col(n) / min_rows).cast("int").alias(_PARTS))
+    largest = counts.filter(F.col("n") > min_rows).orderBy(F.desc("n"), *keys).limit(max_keys)
+    return largest.select(*keys, F.ceil(F.col("n") / min_rows).cast("int").alias(_PARTS))
 
 
 def add_slot(rows: DataFrame, keys: Sequence[str], hot: DataFrame, slot: str = _SLOT) -> DataFrame:
@@ -70,13 +76,13 @@ def collect_lists(
     into: str,
     part: str,
     max_rows: int,
-    share: float = 1e-6,
+    max_keys: int = 1_000_000,
 ) -> DataFrame:
     """Sorted list of structs of ``fields`` per key, as (key, part, into).
 
     A key with up to ``max_rows`` rows gets one list, part 0. A larger one gets
     several, each sorted, so that no task holds an unbounded list; nothing is cut off.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    parted = add_slot(rows, [key], hot_keys(counts, [key], share=share, min_rows=max_rows), slot=part)
+    hot = hot_keys(count_keys(rows, [key]), [key], min_rows=max_rows, max_keys=max_keys)
+    parted = add_slot(rows, [key], hot, slot=part)
     return parted.groupBy(key, part).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias(into))

@@ -17,12 +17,12 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptide.functions.clock import epoch_ms
 from shoptide.functions.scoring import complementary_score
-from shoptide.functions.spread import hot_keys, spread_join
+from shoptide.functions.spread import count_keys, hot_keys, spread_join
 
 MIN_SUPPORT = 1e-4
 MIN_CONFIDENCE = 5e-3
@@ -113,26 +113,26 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
             big = lines.join(oversize.filter("_mixed"), "order_id", "left_semi").distinct()
         lines = lines.join(oversize, "order_id", "left_anti")
 
-    # one shuffle by order; dropping repeats, sizing and pairing all keep to it
-    size = F.count("*").over(Window.partitionBy("order_id"))
-    small = (
+    # one shuffle by order, at most max_basket lines each
+    sets = (
         lines.repartition("order_id")
-        .dropDuplicates(["order_id", "product_id"])
-        .withColumn("_size", size)
-        .filter(F.col("_size") > 1)
-        .drop("_size")
+        .groupBy("order_id")
+        .agg(F.sort_array(F.collect_set("product_id")).alias("items"))
+        .filter(F.size("items") > 1)
     )
-    singles = (small if big is None else small.unionByName(big)).groupBy("product_id").agg(F.count("*").alias("n"))
-    singles = singles.filter(F.col("n") >= known.min_count)
+    members = sets.select("order_id", F.explode("items").alias("product_id"))
+    counted = members if big is None else members.unionByName(big)
+    singles = counted.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") >= known.min_count)
     if known.min_count > 1 and known.lines // known.min_count <= BROADCAST_IDS:
-        # so few products can be frequent that the others are dropped before pairing
-        small = small.join(F.broadcast(singles.select("product_id")), "product_id", "left_semi")
+        # so few products can be frequent that the others are dropped before pairing, in place
+        frequent = F.broadcast(singles.select("product_id"))
+        members = members.join(frequent, "product_id", "left_semi")
+        sets = members.groupBy("order_id").agg(F.sort_array(F.collect_list("product_id")).alias("items"))
 
-    left = small.select("order_id", F.col("product_id").alias("a"))
-    right = small.select("order_id", F.col("product_id").alias("b"))
+    after = F.slice("items", F.col("i") + 2, F.size("items"))
     pairs = (
-        left.join(right, "order_id")
-        .filter(F.col("a") < F.col("b"))
+        sets.select("items", F.posexplode("items").alias("i", "a"))
+        .select("a", F.explode(after).alias("b"))
         .groupBy("a", "b")
         .agg(F.count("*").alias("n_ab"))
         .filter(F.col("n_ab") >= max(1, known.min_count - known.large))
@@ -151,11 +151,10 @@ def _for_both(pairs: DataFrame, facts: DataFrame, how: str) -> DataFrame:
     """``facts`` of both products of a pair, its columns suffixed _a and _b."""
     joined = pairs
     for side in ("a", "b"):
-        counts = pairs.groupBy(side).agg(F.count("*").alias("n"))
         named = facts.select(F.col("product_id").alias(side), *[
             F.col(c).alias(f"{c}_{side}") for c in facts.columns if c != "product_id"
         ])
-        joined = spread_join(joined, named, [side], hot_keys(counts, [side]), how)
+        joined = spread_join(joined, named, [side], hot_keys(count_keys(pairs, [side]), [side]), how)
     return joined
 
 

@@ -67,13 +67,18 @@ def latest_month_spending(orders: DataFrame, completed: Collection[str] = COMPLE
 
 
 def latest_month_items(
-    orders: DataFrame, order_items: DataFrame, products: DataFrame, completed: Collection[str] = COMPLETED
+    orders: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    completed: Collection[str] = COMPLETED,
+    months: DataFrame | None = None,
 ) -> DataFrame:
     """Line items of the completed orders of each user's latest month, with product attributes.
 
     A line counts only if its user is the order's user (where lines carry a user at all).
+    ``months`` may hand in the monthly totals if they have been computed before.
     """
-    months = _by_month(orders, completed)
+    months = _by_month(orders, completed) if months is None else months
     latest = months.groupBy("user_id").agg(F.max("year_month").alias("year_month"))
     # the monthly counts already tell which (user, month) is hot
     month = ["user_id", "year_month"]
@@ -104,13 +109,15 @@ def user_consumption_profile(
     products: DataFrame,
     completed: Collection[str] = COMPLETED,
     max_list_rows: int = MAX_LIST_ROWS,
+    settle=lambda months: months,
 ) -> DataFrame:
     """One row per user: averages, latest month's spending and four aligned lists of its products.
 
     A user with more than ``max_list_rows`` lines in the month gets several rows, numbered by
     ``profile_part``, which together hold all lines; everybody else has the one part 0.
+    ``settle`` may materialise the monthly totals, which are far fewer than the orders and read often.
     """
-    months = _by_month(orders, completed)
+    months = settle(_by_month(orders, completed))
     spending = (
         months.groupBy("user_id")
         .agg((F.sum("_spent").cast("double") / F.sum("_paid")).alias("avg_order_value"), *_latest(months))
@@ -120,7 +127,7 @@ def user_consumption_profile(
             F.col("_latest._spent").cast("double").alias("monthly_spending"),
         )
     )
-    lines = latest_month_items(orders, order_items, products, completed)
+    lines = latest_month_items(orders, order_items, products, completed, months)
     lists = collect_lists(
         lines,
         "user_id",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shoptide.functions.clock import instant
 from shoptide.functions.scoring import BLEND_WEIGHTS, OTHER_PRIORITY, TYPE_PRIORITY, final_score, priority_of
-from shoptide.functions.spread import hot_keys, spread_join
+from shoptide.functions.spread import count_keys, hot_keys, spread_join
 
 
 def top_trending(trending: DataFrame, n: int = 10) -> DataFrame:
@@ -58,7 +58,7 @@ def _own(products: DataFrame) -> DataFrame:
 
 
 def _hot(rows: DataFrame, key: str) -> DataFrame:
-    return hot_keys(rows.groupBy(key).agg(F.count("*").alias("n")), [key])
+    return hot_keys(count_keys(rows, [key]), [key])
 
 
 def rec_candidates(base: DataFrame, similarity: DataFrame, complementary: DataFrame) -> DataFrame:
@@ -125,7 +125,7 @@ def user_recommendations(
     base = consumption_base(known, top_trending(trending, n_fallback), "segment_name").withColumnRenamed(
         "product_id", "source_id"
     )
-    per_source = base.groupBy("source_id").agg(F.count("*").alias("n"))
+    per_source = count_keys(base, ["source_id"])
 
     # what is known of a product, on one row
     facts = products.select("product_id", "product_name", "category").join(
@@ -133,14 +133,9 @@ def user_recommendations(
     )
     own = _own(per_source.select("source_id", F.col("source_id").alias("product_id")))
     links = own.unionByName(product_links(similarity, complementary))
-    offers = (
-        _scored(links, facts, weights, priority, OTHER_PRIORITY)
-        .groupBy("source_id", "product_id", "product_name", "category")
-        .agg(F.max(_merit()).alias("_best"))
-        .select("source_id", "product_id", "product_name", "category", "_best.final_score", "_best.type")
-    )
+    offers = _scored(links, facts, weights, priority, OTHER_PRIORITY).drop("score", "trend_score", "_priority")
 
-    # The best row once more, now over all of a user's sources. A maximum per type keeps to plain
+    # The best row per product over all of a user's sources. A maximum per type keeps to plain
     # numbers, which a hash aggregate can update in place; a maximum of structs would have to sort.
     kinds = sorted(priority, key=lambda kind: (-priority[kind], kind))
     best_of = {kind: F.max(F.when(F.col("type") == kind, F.col("final_score"))).alias(f"_{kind}") for kind in kinds}

@@ -5,7 +5,7 @@ among the nearest distinct price points. Work goes per price point, not per pair
 each point keeps its first k + 1 products, looks at the k points on either side, and its ranked
 partners serve every product at that price.
 
-The price axis is cut into cells so that a big category is not one task. A cell also gets
+The price axis of a big category is cut into cells, so that it is not one task. A cell also gets
 the k points just outside either end, found among the outermost k points of all cells.
 """
 
@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from shoptide.functions.clock import instant
 from shoptide.functions.scoring import price_similarity
-from shoptide.functions.spread import hot_keys, spread_join
+from shoptide.functions.spread import count_keys, hot_keys, spread_join
 
-CELLS = 1_024
+CELL_POINTS = 5_000
 _POINT = ["category", "price"]
 
 
@@ -35,6 +35,15 @@ def _first_ids(rows: DataFrame, keys: list[str], count: int) -> DataFrame:
     )
 
 
+def _in_cells(points: DataFrame, priced: DataFrame, low: Column, price_range: Column, cell_points: int) -> DataFrame:
+    """``points`` with their cell: a category of n price points is cut into n / cell_points equal stretches."""
+    prices = priced.select("category", "price").distinct()
+    big = hot_keys(count_keys(prices, ["category"]), ["category"], min_rows=cell_points)
+    stretch = F.floor((F.col("price") - low) / price_range * F.col("_parts"))
+    cell = F.coalesce(F.least(stretch, F.col("_parts") - 1), F.lit(0)).cast("int")
+    return points.join(F.broadcast(big), "category", "left").withColumn("_cell", cell).drop("_parts")
+
+
 def _with_borders(points: DataFrame, k: int) -> DataFrame:
     """``points`` plus, per cell, the nearest k points of the category below and above it (``_guest``)."""
     cell = ["category", "_cell"]
@@ -72,7 +81,7 @@ def _ranked(price: Column, neighbours: Column, price_range: Column, count: int)
 
 
 def product_similarity(
-    products: DataFrame, k: int = 20, as_of: date | datetime | None = None, cells: int = CELLS
+    products: DataFrame, k: int = 20, as_of: date | datetime | None = None, cell_points: int = CELL_POINTS
 ) -> DataFrame:
     """Up to ``k`` partners per product, both directions, ranked by score and then id.
 
@@ -86,11 +95,10 @@ def product_similarity(
     # bounds of the whole catalogue, read as scalars
     low, high = (products.agg(f("price")).scalar() for f in (F.min, F.max))
     price_range = F.when(high > low, high - low).otherwise(F.lit(1.0))
-    cell = F.least(F.floor((F.col("price") - low) / price_range * cells), F.lit(cells - 1)).cast("int")
-
     # one product more than asked for, as a product is not its own partner
     keep = k + 1
-    points = _first_ids(priced, _POINT, keep).withColumns({"_cell": cell, "_range": price_range})
+    points = _in_cells(_first_ids(priced, _POINT, keep), priced, low, price_range, cell_points)
+    points = points.withColumn("_range", price_range)
     axis = Window.partitionBy("category", "_cell").orderBy("price").rowsBetween(-k, k)
     near = F.collect_list(F.struct("price", "_ids")).over(axis)
     partners = (
@@ -121,8 +129,8 @@ def product_similarity(
     spot = {"_has_price": F.col("price").isNotNull(), "_at": F.coalesce("price", F.lit(0.0))}
     key = ["category", *spot]
     sources = wanted.withColumns(spot).drop("price")
-    counts = sources.groupBy(*key).agg(F.count("*").alias("n"))
-    matched = spread_join(sources, lists.withColumns(spot).drop("price"), key, hot_keys(counts, key))
+    hot = hot_keys(count_keys(sources, key), key)
+    matched = spread_join(sources, lists.withColumns(spot).drop("price"), key, hot)
     others = F.filter("_partners", lambda p: p["id"] != F.col("product_id"))
     pairs = matched.select("product_id", F.explode(F.slice(others, 1, k)).alias("_partner"))
     columns = [

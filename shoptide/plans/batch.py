@@ -57,7 +57,7 @@ def run_batch(
 
     keep(
         "user_consumption_profile",
-        user_consumption_profile(users, orders, items, products, **of("user_consumption_profile")),
+        user_consumption_profile(users, orders, items, products, settle=settle, **of("user_consumption_profile")),
     )
     keep("trending_products", trending_products(events, orders, items, as_of, **of("trending_products")))
     keep("product_similarity", product_similarity(products, as_of=as_of, **of("product_similarity")))

@@ -172,16 +172,15 @@ recommended as (
 # An event is in the five windows that end one to five minutes after its own minute.
 _ACTIVITY = """
 activity as (
-  select cast(user_id as varchar) as user_id, cast(cast(props->>'$.k' as bigint) as varchar) as product_id,
-         p_name as product_name, p_brand as category,
+  select user_id, cast(props->>'$.k' as bigint) as product_id, p_name as product_name, p_brand as category,
          case when event_type = 'click' then 'cart' else event_type end as event_type,
-         cast(trunc((cast(epoch_us(ts) // 1000 as double) / 1000) * 1000000) as bigint) as event_micros
+         epoch_us(ts) // 60000000 * 60 as event_minute, epoch_us(ts) // 1000 as event_millis
   from events left join part on p_partkey = cast(props->>'$.k' as bigint))"""
 
 _INTEREST = f"""
 {_ACTIVITY},
 interest as (
-  select event_micros // 60000000 * 60 + 60 * i as window_end, user_id, product_id, product_name, category,
+  select event_minute + 60 * i as window_end, user_id, product_id, product_name, category,
          cast(sum(case when event_type = 'view' then 1 else 0 end) as bigint) as view_count,
          cast(sum(case when event_type = 'cart' then 1 else 0 end) as bigint) as cart_count,
          cast(sum(case when event_type = 'purchase' then 1 else 0 end) as bigint) as purchase_count
@@ -197,7 +196,7 @@ trend_rows as (
 _REALTIME = f"""
 {_INTEREST},
 newest as (
-  select user_id, product_id, max(event_micros // 60000000 * 60) + 60 as computed_time from activity group by all),
+  select user_id, product_id, max(event_minute) + 60 as computed_time from activity group by all),
 realtime as (select trend_rows.* from trend_rows join newest using (user_id, product_id, computed_time))"""
 
 
@@ -278,20 +277,28 @@ from recommended group by user_id""",
         "from recommended "
         "qualify row_number() over (partition by product_id order by recommendation_score desc, user_id) <= 10",
     ),
-    "parse_activity_events": _sql(_ACTIVITY, "select * from activity"),
+    "parse_activity_events": _sql(
+        _ACTIVITY,
+        """
+select cast(user_id as varchar) as user_id, cast(product_id as varchar) as product_id, product_name, category,
+       event_type, cast(trunc((cast(event_millis as double) / 1000) * 1000000) as bigint) as event_micros
+from activity""",
+    ),
     "sliding_user_interest": _sql(_INTEREST, "select * from interest"),
     "realtime_trend_score": _sql(_INTEREST, "select * from trend_rows"),
     "upsert_realtime_view": _sql(_REALTIME, "select * from realtime"),
-    "run_speed_layer": _sql(_REALTIME, "select * from realtime"),
+    "run_speed_layer": _sql(
+        _REALTIME,
+        "select * replace (cast(user_id as varchar) as user_id, cast(product_id as varchar) as product_id) "
+        "from realtime",
+    ),
     "expire_realtime_view": _sql(_REALTIME, f"select * from realtime where computed_time > {REALTIME_NOW} - 86400"),
     "raw_event_append": _sql(
         _ACTIVITY,
         """
-select cast(user_id as varchar) as user_id, cast(cast(props->>'$.k' as bigint) as varchar) as product_id,
-       p_name as product_name, p_brand as category,
-       case when event_type = 'click' then 'cart' else event_type end as event_type,
-       cast(epoch_us(ts) // 1000 as double) as event_timestamp
-from events left join part on p_partkey = cast(props->>'$.k' as bigint)""",
+select cast(user_id as varchar) as user_id, cast(product_id as varchar) as product_id, product_name, category,
+       event_type, cast(event_millis as double) as event_timestamp
+from activity""",
     ),
     "serve_trending": _sql(
         _REALTIME,

@@ -75,7 +75,7 @@ def latest_month_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def _profile(spark: SparkSession, folder: str) -> DataFrame:
     t = StarTables(spark, folder)
-    return C.user_consumption_profile(t.customers, t.orders, t.order_items, t.products, COMPLETED)
+    return C.user_consumption_profile(t.customers, t.orders, t.order_items, t.products, COMPLETED, settle=settle)
 
 
 def user_consumption_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,23 +157,21 @@ def user_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return parse_activity_events(StarTables(spark, folder).messages)
-
-
 def activity_events(spark: SparkSession, folder: str) -> DataFrame:
     moment = F.unix_micros("event_timestamp").alias("event_micros")
-    return _events(spark, folder).select("user_id", "product_id", "product_name", "category", "event_type", moment)
+    return parse_activity_events(StarTables(spark, folder).messages).select(
+        "user_id", "product_id", "product_name", "category", "event_type", moment
+    )
 
 
 def sliding_user_interest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = I.sliding_user_interest(_events(spark, folder))
+    rows = I.sliding_user_interest(StarTables(spark, folder).activity)
     end = F.col("window.end").cast("long").alias("window_end")
     return rows.select(end, *[c for c in rows.columns if c != "window"])
 
 
 def realtime_trend_score(spark: SparkSession, folder: str) -> DataFrame:
-    return I.realtime_trend_score(I.sliding_user_interest(_events(spark, folder)))
+    return I.realtime_trend_score(I.sliding_user_interest(StarTables(spark, folder).activity))
 
 
 def realtime_view(spark: SparkSession, folder: str) -> DataFrame:

@@ -95,10 +95,17 @@ class StarTables:
             F.col("ts").alias("event_timestamp"),
         )
 
+    @property
+    def activity(self) -> DataFrame:
+        """The events with the name and category of their product."""
+        named = self.products.select("product_id", "product_name", "category")
+        return self.events.join(named, "product_id", "left").select(
+            "user_id", "product_id", "product_name", "category", "event_type", "event_timestamp"
+        )
+
     @property
     def messages(self) -> DataFrame:
         """The events as JSON messages of the activity topic."""
-        named = self.products.select("product_id", "product_name", "category")
         message = F.struct(
             F.col("user_id").cast("string").alias("user_id"),
             F.col("product_id").cast("string").alias("product_id"),
@@ -107,4 +114,4 @@ class StarTables:
             "event_type",
             F.unix_millis("event_timestamp").cast("double").alias("event_timestamp"),
         )
-        return self.events.join(named, "product_id", "left").select(F.to_json(message).alias("value"))
+        return self.activity.select(F.to_json(message).alias("value"))

@@ -52,18 +52,18 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("cells", [1, 4, 1024])
+@pytest.mark.parametrize("cell_points", [1, 6, 5_000])
 @pytest.mark.parametrize("name", CASES)
-def test_equals_brute_force(spark, name, cells):
-    assert found(spark, CASES[name], k=3, cells=cells) == brute_force(CASES[name], 3)
+def test_equals_brute_force(spark, name, cell_points):
+    assert found(spark, CASES[name], k=3, cell_points=cell_points) == brute_force(CASES[name], 3)
 
 
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_brute_force_on_random_catalogues(spark, seed, monkeypatch):
-    monkeypatch.setattr(similarity, "hot_keys", lambda c, k: spread.hot_keys(c, k, min_rows=5))
+    monkeypatch.setattr(similarity, "hot_keys", lambda c, k, min_rows=5: spread.hot_keys(c, k, min_rows=min_rows))
     rng = random.Random(seed)
     rows = [
         (f"p{i:04}", rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, 1.0, round(rng.lognormvariate(3, 1), 2)]))
         for i in range(300)
     ]
-    assert found(spark, rows, k=5, cells=16) == brute_force(rows, 5)
+    assert found(spark, rows, k=5, cell_points=8) == brute_force(rows, 5)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shoptide.functions.spread import add_slot, collect_lists, hot_keys, spread_join
+from shoptide.functions.spread import add_slot, collect_lists, count_keys, hot_keys, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +12,13 @@ def rows(spark):
 
 
 def counts_of(rows):
-    return rows.groupBy("k").agg(F.count("*").alias("n"))
+    return count_keys(rows, ["k"])
 
 
 def test_hot_keys(rows):
-    assert [r["k"] for r in hot_keys(counts_of(rows), ["k"], min_rows=200).filter("k is not null").collect()] == [0]
-    assert hot_keys(counts_of(rows), ["k"], min_rows=10, share=0.5).count() == 0
+    assert [r["k"] for r in hot_keys(counts_of(rows), ["k"], min_rows=200).collect()] == [0]
+    largest = hot_keys(counts_of(rows), ["k"], min_rows=10, max_keys=1).collect()
+    assert len(largest) == 1 and largest[0]["k"] == 0
     assert hot_keys(counts_of(rows), ["k"]).count() == 0
 
 
