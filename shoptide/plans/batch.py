@@ -14,7 +14,7 @@ from shoptide.operators.recommend import user_recommendations
 from shoptide.operators.segments import user_segments
 from shoptide.operators.similarity import product_similarity
 from shoptide.operators.trending import trending_products
-from shoptide.plans.settle import settle
+from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.sources.tables import read_view
 from shoptide.sources.views import read_snapshot, upsert_snapshot, write_view
 
@@ -34,8 +34,8 @@ def run_batch(
     """Compute all six views into ``out_dir`` and return them as read back from there.
 
     ``inputs`` holds users, orders, order_items, products and events; ``options`` holds keyword
-    arguments per view. Each view is written before the next step reads it, so no step recomputes
-    another. Segments are merged into what is there by user, the other views are replaced.
+    arguments per view. The first five run side by side; the last reads them as written, so nothing is
+    computed twice. Segments are merged into what is there by user, the other views are replaced.
     """
     options = options or {}
 
@@ -46,36 +46,34 @@ def run_batch(
     products, events = inputs["products"], inputs["events"]
     spark = orders.sparkSession
 
-    segments = user_segments(users, orders, as_of, settle=settle, **of("user_segments"))
-    upsert_snapshot(segments, f"{out_dir}/user_segments", ["user_id"], version=epoch_ms(as_of))
+    def segments() -> DataFrame:
+        at = f"{out_dir}/user_segments"
+        view = user_segments(users, orders, as_of, settle=settle, **of("user_segments"))
+        upsert_snapshot(view, at, ["user_id"], version=epoch_ms(as_of))
+        return read_snapshot(spark, at)
 
-    views = {"user_segments": read_snapshot(spark, f"{out_dir}/user_segments")}
-
-    def keep(name: str, view: DataFrame) -> None:
+    def kept(name: str, view: DataFrame) -> DataFrame:
         write_view(view, f"{out_dir}/{name}")
-        views[name] = read_view(spark, f"{out_dir}/{name}")
-
-    keep(
-        "user_consumption_profile",
-        user_consumption_profile(users, orders, items, products, settle=settle, **of("user_consumption_profile")),
-    )
-    keep("trending_products", trending_products(events, orders, items, as_of, **of("trending_products")))
-    keep("product_similarity", product_similarity(products, as_of=as_of, **of("product_similarity")))
-    keep(
-        "product_complementary",
-        product_complementary(items, products, as_of=as_of, settle=settle, **of("product_complementary")),
-    )
-    keep(
-        "user_recommendations_batch",
-        user_recommendations(
-            views["user_consumption_profile"],
-            views["trending_products"],
-            views["product_similarity"],
-            views["product_complementary"],
-            views["user_segments"],
-            products,
-            as_of=as_of,
-            **of("user_recommendations_batch"),
-        ),
-    )
-    return views
+        return read_view(spark, f"{out_dir}/{name}")
+
+    def profile() -> DataFrame:
+        name = "user_consumption_profile"
+        return kept(name, user_consumption_profile(users, orders, items, products, settle=settle, **of(name)))
+
+    def trending() -> DataFrame:
+        name = "trending_products"
+        return kept(name, trending_products(events, orders, items, as_of, **of(name)))
+
+    def similar() -> DataFrame:
+        name = "product_similarity"
+        return kept(name, product_similarity(products, as_of=as_of, **of(name)))
+
+    def together() -> DataFrame:
+        name = "product_complementary"
+        return kept(name, product_complementary(items, products, as_of=as_of, settle=settle, **of(name)))
+
+    checkpoint_root(spark)
+    by_user, profiles, trends, alike, pairs = side_by_side(segments, profile, trending, similar, together)
+    name = "user_recommendations_batch"
+    best = user_recommendations(profiles, trends, alike, pairs, by_user, products, as_of=as_of, **of(name))
+    return dict(zip(VIEWS, (by_user, profiles, trends, alike, pairs, kept(name, best)), strict=True))

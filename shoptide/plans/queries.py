@@ -15,7 +15,7 @@ from shoptide.operators import segments as S
 from shoptide.operators import serving as V
 from shoptide.operators import similarity as M
 from shoptide.operators import trending as T
-from shoptide.plans.settle import checkpoint_root, settle
+from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.schemas import ACTIVITY_MESSAGE
 from shoptide.sources.star import BAD, COMPLETED, EVENTS_TODAY, ORDERS_TODAY, StarTables
 from shoptide.streaming import interest as I
@@ -129,32 +129,28 @@ def consumption_base(spark: SparkSession, folder: str) -> DataFrame:
     return R.consumption_base(_profile(spark, folder), top_trending(spark, folder))
 
 
-def _settled_base(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(consumption_base(spark, folder))
+def _settled(spark: SparkSession, folder: str, *queries: Query) -> list[DataFrame]:
+    """The queries' results, each computed once, side by side."""
+    checkpoint_root(spark)
+    return side_by_side(*[lambda query=query: settle(query(spark, folder)) for query in queries])
 
 
 def rec_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return R.rec_candidates(
-        _settled_base(spark, folder),
-        settle(product_similarity(spark, folder)),
-        settle(product_complementary(spark, folder)),
+        *_settled(spark, folder, consumption_base, product_similarity, product_complementary)
     )
 
 
 def score_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return R.score_candidates(settle(rec_candidates(spark, folder)), settle(trending_products(spark, folder)))
+    return R.score_candidates(*_settled(spark, folder, rec_candidates, trending_products))
 
 
 def user_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     """The recommendation view over the other views, each computed once."""
-    return R.user_recommendations(
-        settle(_profile(spark, folder)),
-        settle(trending_products(spark, folder)),
-        settle(product_similarity(spark, folder)),
-        settle(product_complementary(spark, folder)),
-        settle(label_segments(spark, folder)),
-        StarTables(spark, folder).products,
+    views = _settled(
+        spark, folder, _profile, trending_products, product_similarity, product_complementary, label_segments
     )
+    return R.user_recommendations(*views, StarTables(spark, folder).products)
 
 
 def activity_events(spark: SparkSession, folder: str) -> DataFrame:

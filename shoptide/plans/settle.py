@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,10 @@ def settle(frame: DataFrame) -> DataFrame:
     """``frame`` computed once and written to the checkpoint folder."""
     checkpoint_root(frame.sparkSession)
     return frame.checkpoint()
+
+
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Results of steps that do not depend on each other, run at the same time so that one step's
+    last tasks do not leave the cluster idle. The first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [step.result() for step in [pool.submit(step) for step in steps]]
