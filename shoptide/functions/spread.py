@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 20_000
 MIN_HOT_ROWS = 1_000_000
+# where one row becomes twenty and more
+FAN_OUT_ROWS = 50_000
 NULL_SLOTS = 1_024
 
 _SLOT, _PARTS = "_slot", "_parts"
@@ -57,16 +59,33 @@ def add_slot(rows: DataFrame, keys: Sequence[str], hot: DataFrame, slot: str = _
     return rows.join(F.broadcast(hot), list(keys), "left").withColumn(slot, chosen.cast("int")).drop(_PARTS)
 
 
+def keep_partitions(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` by ``keys`` in the session's full number of shuffle partitions.
+
+    For work that is heavy per row, or makes many rows of one: partitions merged by the size of
+    what goes in would be too few for it.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def spread_join(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], hot: DataFrame, how: str = "inner"
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    hot: DataFrame,
+    how: str = "inner",
+    fans_out: bool = False,
 ) -> DataFrame:
     """``rows`` joined to ``lookup`` with the hot keys of ``rows`` cut into slots.
 
-    ``how`` is inner, left or left_semi.
+    ``how`` is inner, left or left_semi. Set ``fans_out`` if the join makes many rows of each.
     """
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
     copied = lookup.join(F.broadcast(hot), list(keys), "left").withColumn(_SLOT, copies).drop(_PARTS)
-    return add_slot(rows, keys, hot).join(copied, [*keys, _SLOT], how).drop(_SLOT)
+    slotted = add_slot(rows, keys, hot)
+    if fans_out:
+        slotted = keep_partitions(slotted, [*keys, _SLOT])
+    return slotted.join(copied, [*keys, _SLOT], how).drop(_SLOT)
 
 
 def collect_lists(

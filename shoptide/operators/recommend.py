@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shoptide.functions.clock import instant
 from shoptide.functions.scoring import BLEND_WEIGHTS, OTHER_PRIORITY, TYPE_PRIORITY, final_score, priority_of
-from shoptide.functions.spread import count_keys, hot_keys, spread_join
+from shoptide.functions.spread import FAN_OUT_ROWS, count_keys, hot_keys, spread_join
 
 
 def top_trending(trending: DataFrame, n: int = 10) -> DataFrame:
@@ -61,14 +61,16 @@ def _hot(rows: DataFrame, key: str) -> DataFrame:
     return hot_keys(count_keys(rows, [key]), [key])
 
 
+def _hot_sources(counts: DataFrame) -> DataFrame:
+    return hot_keys(counts, ["source_id"], min_rows=FAN_OUT_ROWS)
+
+
 def rec_candidates(base: DataFrame, similarity: DataFrame, complementary: DataFrame) -> DataFrame:
     """All candidates of every user with their type and unweighted score."""
-    from_links = spread_join(
-        base.withColumnRenamed("product_id", "source_id"),
-        product_links(similarity, complementary),
-        ["source_id"],
-        _hot(base, "product_id").withColumnRenamed("product_id", "source_id"),
-    )
+    bought = base.withColumnRenamed("product_id", "source_id")
+    links = product_links(similarity, complementary)
+    hot = _hot_sources(count_keys(bought, ["source_id"]))
+    from_links = spread_join(bought, links, ["source_id"], hot, fans_out=True)
     columns = ["user_id", "product_id", "score", "type"]
     return _own(base).select(*columns).unionByName(from_links.select(*columns))
 
@@ -159,7 +161,7 @@ def user_recommendations(
     if as_of is not None:
         columns.append(instant(as_of).alias("computed_date"))
     return (
-        spread_join(base, offers, ["source_id"], hot_keys(per_source, ["source_id"]))
+        spread_join(base, offers, ["source_id"], _hot_sources(per_source), fans_out=True)
         .groupBy("user_id", "segment_name", "product_id", "product_name", "category")
         .agg(*best_of.values(), place_of_unscored)
         .select(*columns)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shoptide.functions.clock import instant
 from shoptide.functions.scoring import price_similarity
-from shoptide.functions.spread import count_keys, hot_keys, spread_join
+from shoptide.functions.spread import FAN_OUT_ROWS, count_keys, hot_keys, keep_partitions, spread_join
 
 CELL_POINTS = 5_000
 _POINT = ["category", "price"]
@@ -102,7 +102,7 @@ def product_similarity(
     axis = Window.partitionBy("category", "_cell").orderBy("price").rowsBetween(-k, k)
     near = F.collect_list(F.struct("price", "_ids")).over(axis)
     partners = (
-        _with_borders(points, k)
+        keep_partitions(_with_borders(points, k), ["category", "_cell"])
         .withColumn("_near", near)
         .filter(~F.col("_guest"))
         .select(*_POINT, _ranked(F.col("price"), F.col("_near"), F.col("_range"), keep).alias("_partners"))
@@ -129,8 +129,8 @@ def product_similarity(
     spot = {"_has_price": F.col("price").isNotNull(), "_at": F.coalesce("price", F.lit(0.0))}
     key = ["category", *spot]
     sources = wanted.withColumns(spot).drop("price")
-    hot = hot_keys(count_keys(sources, key), key)
-    matched = spread_join(sources, lists.withColumns(spot).drop("price"), key, hot)
+    hot = hot_keys(count_keys(sources, key), key, min_rows=FAN_OUT_ROWS)
+    matched = spread_join(sources, lists.withColumns(spot).drop("price"), key, hot, fans_out=True)
     others = F.filter("_partners", lambda p: p["id"] != F.col("product_id"))
     pairs = matched.select("product_id", F.explode(F.slice(others, 1, k)).alias("_partner"))
     columns = [

@@ -110,7 +110,7 @@ def test_unscored_links(spark):
 
 def test_product_most_users_have(spark, monkeypatch):
     """The hot product is cut into slots on every join, with the same result."""
-    monkeypatch.setattr(module, "hot_keys", lambda c, k: spread.hot_keys(c, k, min_rows=10))
+    monkeypatch.setattr(module, "hot_keys", lambda c, k, min_rows=0: spread.hot_keys(c, k, min_rows=10))
     profile = [(f"u{i}", ["HOT"] if i % 3 else [f"P{i % 9}"]) for i in range(300)]
     similar = [("HOT", f"P{i}", 0.9) for i in range(9)] + [(f"P{i}", "HOT", 0.8) for i in range(9)]
     shop = Shop(spark, profile, [("HOT", 10.0)], similar, [("HOT", "P1", 2.0)])

@@ -60,7 +60,7 @@ def test_equals_brute_force(spark, name, cell_points):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_brute_force_on_random_catalogues(spark, seed, monkeypatch):
-    monkeypatch.setattr(similarity, "hot_keys", lambda c, k, min_rows=5: spread.hot_keys(c, k, min_rows=min_rows))
+    monkeypatch.setattr(similarity, "hot_keys", lambda c, k, min_rows=5: spread.hot_keys(c, k, min_rows=min(min_rows, 8)))
     rng = random.Random(seed)
     rows = [
         (f"p{i:04}", rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, 1.0, round(rng.lognormvariate(3, 1), 2)]))
