@@ -7,8 +7,8 @@ Pairs are written out for ordinary baskets only. A basket beyond ``max_basket``
 square into more pairs than the rest of the data; such baskets are met from the other end. If
 there are L of them, a pair that reaches ``min_count`` must occur ``min_count - L`` times in the
 ordinary ones, so the pairs found there are the only candidates, and for each of those the
-large baskets holding both products are counted. That is exact as long as L < min_count, and the
-bound is raised until it is.
+large baskets holding both products are counted. That is exact as long as L < min_count; if there
+are more, only the largest are treated so, and the bound becomes the size of the next one.
 """
 
 from __future__ import annotations
@@ -28,7 +28,10 @@ MIN_SUPPORT = 1e-4
 MIN_CONFIDENCE = 5e-3
 MAX_BASKET = 500
 
-# Sizes up to which a list of ids is broadcast.
+# Large baskets are few: their ids are broadcast, and listed per product.
+MAX_LARGE = 10_000
+
+# Sizes up to which other lists of ids are broadcast.
 BROADCAST_IDS = 100_000
 
 
@@ -57,10 +60,11 @@ class BasketCensus:
 
     baskets: int  # orders with two products or more
     lines: int
-    oversize: int  # orders with more than max_basket lines
-    large: int  # those of them that are baskets
+    repeats: int  # orders of more than max_repeats lines that are all one product
+    large: int  # baskets of more than max_basket lines
     min_count: int
     max_basket: int
+    max_repeats: int
 
 
 def basket_census(
@@ -69,28 +73,28 @@ def basket_census(
     min_count: int | None = None,
     max_basket: int = MAX_BASKET,
 ) -> BasketCensus:
-    """One small job: number of baskets and lines, the count a pair must reach, the size bound."""
-
-    def census(bound: int):
-        return (
-            _orders(_lines(order_items))
-            .agg(
-                F.count_if("_mixed").alias("baskets"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
-                F.count_if(F.col("n") > bound).alias("oversize"),
-                F.count_if(F.col("_mixed") & (F.col("n") > bound)).alias("large"),
-            )
-            .first()
+    """One small job, at most three: how many baskets there are, the count a pair must reach, the size bound."""
+    orders = _orders(_lines(order_items))
+
+    def census(bound: int) -> dict:
+        above = F.col("n") > bound
+        counts = orders.agg(
+            F.count_if("_mixed").alias("baskets"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
+            F.count_if(~F.col("_mixed") & (F.col("n") > max_basket)).alias("repeats"),
+            F.count_if(F.col("_mixed") & above).alias("large"),
         )
+        return counts.first().asDict()
 
-    found = census(max_basket)
+    found, bound = census(max_basket), max_basket
     needed = min_count if min_count is not None else ceil(min_support * found["baskets"])
     needed = max(needed, 1)
-    if found["large"] >= needed:
-        # fewer than `needed` orders can have more than lines / needed lines
-        max_basket = max(max_basket, found["lines"] // needed)
-        found = census(max_basket)
-    return BasketCensus(**found.asDict(), min_count=needed, max_basket=max_basket)
+    most = min(needed - 1, MAX_LARGE)
+    if found["large"] > most:
+        largest = orders.filter("_mixed").orderBy(F.desc("n")).limit(most + 1)
+        bound = largest.agg(F.min("n")).first()[0]
+        found = census(bound)
+    return BasketCensus(**found, min_count=needed, max_basket=bound, max_repeats=max_basket)
 
 
 @dataclass(frozen=True)
@@ -105,14 +109,17 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
     known = basket_census(order_items, min_support, min_count, max_basket)
     lines = _lines(order_items)
     big = None
-    if known.oversize:
-        oversize = _orders(lines).filter(F.col("n") > known.max_basket)
-        if known.oversize <= BROADCAST_IDS:
-            oversize = F.broadcast(oversize)
+    if known.max_basket > max_basket:
+        # baskets of many copies are among the ordinary ones now
+        lines = lines.distinct()
+    if known.repeats or known.large:
+        per_order = _orders(_lines(order_items))
+        apart = per_order.filter(F.col("n") > F.when(F.col("_mixed"), known.max_basket).otherwise(known.max_repeats))
+        if known.repeats + known.large <= BROADCAST_IDS:
+            apart = F.broadcast(apart)
         if known.large:
-            big = lines.join(oversize.filter("_mixed"), "order_id", "left_semi").distinct()
-        lines = lines.join(oversize, "order_id", "left_anti")
-
+            big = lines.join(apart.filter("_mixed"), "order_id", "left_semi").distinct()
+        lines = lines.join(apart, "order_id", "left_anti")
     # one shuffle by order, at most max_basket lines each
     sets = (
         lines.repartition("order_id")

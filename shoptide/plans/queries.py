@@ -15,6 +15,7 @@ from shoptide.operators import segments as S
 from shoptide.operators import serving as V
 from shoptide.operators import similarity as M
 from shoptide.operators import trending as T
+from shoptide.plans.batch import run_batch
 from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.schemas import ACTIVITY_MESSAGE
 from shoptide.sources.star import BAD, COMPLETED, EVENTS_TODAY, ORDERS_TODAY, StarTables
@@ -153,6 +154,26 @@ def user_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     return R.user_recommendations(*views, StarTables(spark, folder).products)
 
 
+def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """All six views written to a folder of their own, segments by KMeans; the last of them."""
+    t = StarTables(spark, folder)
+    inputs = {
+        "users": t.users,
+        "orders": t.orders,
+        "order_items": t.order_items,
+        "products": t.products,
+        "events": t.views_only,
+    }
+    options = {
+        "user_segments": {"completed": COMPLETED, "bad": BAD, "partitions": 8},
+        "user_consumption_profile": {"completed": COMPLETED},
+        "trending_products": {"orders_as_of": ORDERS_TODAY},
+        "product_complementary": {"min_count": MIN_COUNT},
+    }
+    views = run_batch(inputs, _scratch(spark, "batch-views"), EVENTS_TODAY, options)
+    return views["user_recommendations_batch"].drop("computed_date")
+
+
 def activity_events(spark: SparkSession, folder: str) -> DataFrame:
     moment = F.unix_micros("event_timestamp").alias("event_micros")
     return parse_activity_events(StarTables(spark, folder).messages).select(
@@ -274,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "rec_candidates": rec_candidates,
     "score_candidates": score_candidates,
     "user_recommendations": user_recommendations,
+    "run_batch": batch_chain,
     "parse_activity_events": activity_events,
     "sliding_user_interest": sliding_user_interest,
     "realtime_trend_score": realtime_trend_score,

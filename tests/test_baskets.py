@@ -100,8 +100,10 @@ def test_one_order_with_a_third_of_all_lines(spark, monkeypatch):
 
 def test_size_bound_is_raised_until_it_is_exact(spark):
     orders = random_orders(7, giants=(20, 21, 22, 23))
-    known = basket_census(lines(spark, orders), min_count=2, max_basket=30)
-    assert known.large < known.min_count
+    for min_count in (1, 2, 3, 9):
+        known = basket_census(lines(spark, orders), min_count=min_count, max_basket=30)
+        assert known.large < known.min_count
+        assert known.large == min(min_count - 1, 4)
 
 
 def test_equals_frequent_item_sets(spark):
