@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptide.functions.spread import collect_lists, hot_keys, spread_join
@@ -33,9 +33,9 @@ def _by_month(orders: DataFrame, completed: Collection[str]) -> DataFrame:
     )
 
 
-def _latest(months: DataFrame) -> list:
+def _latest() -> Column:
     # a maximum instead of a ranking: it is combined before the shuffle
-    return [F.max(F.struct("year_month", "_spent")).alias("_latest")]
+    return F.max(F.struct("year_month", "_spent")).alias("_latest")
 
 
 def avg_order_value(orders: DataFrame, completed: Collection[str] = COMPLETED) -> DataFrame:
@@ -43,7 +43,7 @@ def avg_order_value(orders: DataFrame, completed: Collection[str] = COMPLETED) -
     return (
         _completed(orders, completed)
         .groupBy("user_id")
-        .agg((F.sum(amount).cast("double") / F.count(amount)).alias("avg_order_value"))
+        .agg(F.try_divide(F.sum(amount).cast("double"), F.count(amount)).alias("avg_order_value"))
     )
 
 
@@ -57,7 +57,7 @@ def latest_month_spending(orders: DataFrame, completed: Collection[str] = COMPLE
     months = _by_month(orders, completed)
     return (
         months.groupBy("user_id")
-        .agg(*_latest(months))
+        .agg(_latest())
         .select(
             "user_id",
             F.col("_latest.year_month").alias("year_month"),
@@ -120,7 +120,7 @@ def user_consumption_profile(
     months = settle(_by_month(orders, completed))
     spending = (
         months.groupBy("user_id")
-        .agg((F.sum("_spent").cast("double") / F.sum("_paid")).alias("avg_order_value"), *_latest(months))
+        .agg(F.try_divide(F.sum("_spent").cast("double"), F.sum("_paid")).alias("avg_order_value"), _latest())
         .select(
             "user_id",
             "avg_order_value",

@@ -120,6 +120,7 @@ def user_recommendations(
     n_fallback: int = 10,
     weights: tuple[float, float] = BLEND_WEIGHTS,
     priority: Mapping[str, float] = TYPE_PRIORITY,
+    other: float = OTHER_PRIORITY,
 ) -> DataFrame:
     """The recommendation view, one row per user and recommended product, no limit per user."""
     # segment on the user's row, before it fans out
@@ -135,11 +136,11 @@ def user_recommendations(
     )
     own = _own(per_source.select("source_id", F.col("source_id").alias("product_id")))
     links = own.unionByName(product_links(similarity, complementary))
-    offers = _scored(links, facts, weights, priority, OTHER_PRIORITY).drop("score", "trend_score", "_priority")
+    offers = _scored(links, facts, weights, priority, other).drop("score", "trend_score", "_priority")
 
     # The best row per product over all of a user's sources. A maximum per type keeps to plain
     # numbers, which a hash aggregate can update in place; a maximum of structs would have to sort.
-    kinds = sorted(priority, key=lambda kind: (-priority[kind], kind))
+    kinds = sorted({*TYPE_PRIORITY, *priority}, key=lambda kind: (-priority.get(kind, other), kind))
     best_of = {kind: F.max(F.when(F.col("type") == kind, F.col("final_score"))).alias(f"_{kind}") for kind in kinds}
     place_of_unscored = F.min(
         F.when(F.col("final_score").isNull(), F.array_position(F.lit(kinds), F.col("type")))

@@ -99,3 +99,13 @@ def test_one_user_with_most_of_the_rows(spark, monkeypatch):
     assert {r["monthly_spending"] for r in hot} == {300.0}
     others = [r for r in rows if r["user_id"] != "hot"]
     assert len(others) == 50 and all(len(r["product_ids_in_latest_month"]) == 4 for r in others)
+
+
+def test_orders_without_an_amount(spark):
+    orders = spark.createDataFrame([("o1", "u1", datetime(2025, 8, 3), "completed", None)], ORDERS)
+    items = spark.createDataFrame([("o1", "u1", "P1", 1)], ITEMS)
+    products = spark.createDataFrame([], PRODUCTS)
+    users = spark.createDataFrame([("u1",)], "user_id string")
+    row = user_consumption_profile(users, orders, items, products).first()
+    assert (row["avg_order_value"], row["monthly_spending"]) == (0.0, 0.0)
+    assert row["product_ids_in_latest_month"] == ["P1"]

@@ -117,3 +117,12 @@ def test_product_most_users_have(spark, monkeypatch):
     found = shop.by_view()
     assert found == shop.by_steps()
     assert len(found) == 200 * 10 + 100 * 2
+
+
+def test_types_without_a_priority_of_their_own(spark):
+    shop = Shop(spark, [("u", ["A"])], (), [("A", "B", 1.0)], [("A", "C", 1.0)])
+    view = user_recommendations(
+        shop.profile, shop.trending, shop.similar, shop.together, shop.segments, shop.products, priority={"similar": 0.9}
+    )
+    scores = {r["product_id"]: r["recommendation_score"] for r in view.collect()}
+    assert scores == {"A": 0.15, "B": 0.45, "C": 0.15}
