@@ -12,8 +12,17 @@ from shoptide.sources.tables import read_or_none
 _VERSION = "snapshot"
 
 
-def write_view(view: DataFrame, location: str, fmt: str = "parquet", **options: str) -> None:
-    """Replace the view at ``location``."""
+def write_view(
+    view: DataFrame, location: str, fmt: str = "parquet", layout: Sequence[str] = (), **options: str
+) -> None:
+    """Replace the view at ``location``.
+
+    ``layout`` names the columns that readers look rows up by, then one that tells a key's rows apart.
+    Each file then holds a range of them, so a lookup opens few files, and a large key still
+    spreads over several.
+    """
+    if layout:
+        view = view.repartitionByRange(*layout).sortWithinPartitions(*layout)
     view.write.mode("overwrite").format(fmt).options(**options).save(location)
 
 
