@@ -52,8 +52,8 @@ def run_batch(
         upsert_snapshot(view, at, ["user_id"], version=epoch_ms(as_of))
         return read_snapshot(spark, at)
 
-    def kept(name: str, view: DataFrame, *layout: str) -> DataFrame:
-        write_view(view, f"{out_dir}/{name}", layout=layout)
+    def kept(name: str, view: DataFrame, *sort_by: str) -> DataFrame:
+        write_view(view, f"{out_dir}/{name}", sort_by=sort_by)
         return read_view(spark, f"{out_dir}/{name}")
 
     def profile() -> DataFrame:
@@ -76,5 +76,5 @@ def run_batch(
     by_user, profiles, trends, alike, pairs = side_by_side(segments, profile, trending, similar, together)
     name = "user_recommendations_batch"
     best = user_recommendations(profiles, trends, alike, pairs, by_user, products, as_of=as_of, **of(name))
-    served = kept(name, best, "user_id", "product_id")
+    served = kept(name, best, "user_id")
     return dict(zip(VIEWS, (by_user, profiles, trends, alike, pairs, served), strict=True))

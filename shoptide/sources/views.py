@@ -13,16 +13,15 @@ _VERSION = "snapshot"
 
 
 def write_view(
-    view: DataFrame, location: str, fmt: str = "parquet", layout: Sequence[str] = (), **options: str
+    view: DataFrame, location: str, fmt: str = "parquet", sort_by: Sequence[str] = (), **options: str
 ) -> None:
     """Replace the view at ``location``.
 
-    ``layout`` names the columns that readers look rows up by, then one that tells a key's rows apart.
-    Each file then holds a range of them, so a lookup opens few files, and a large key still
-    spreads over several.
+    ``sort_by`` names the columns that readers look rows up by: sorted inside each file, without another
+    shuffle, its blocks hold narrow ranges of them and a lookup skips nearly all blocks.
     """
-    if layout:
-        view = view.repartitionByRange(*layout).sortWithinPartitions(*layout)
+    if sort_by:
+        view = view.sortWithinPartitions(*sort_by)
     view.write.mode("overwrite").format(fmt).options(**options).save(location)
 
 
