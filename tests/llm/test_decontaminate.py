@@ -1,0 +1,73 @@
+"""Benchmark windows against a plain search."""
+
+import hashlib
+import re
+
+import pytest
+
+from shoptide.llm.decontaminate import decontaminate, scan_benchmark
+from shoptide.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string, n_words string"
+ITEMS = "item_id long, text string"
+
+
+def words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def plainly(docs, items, n=10):
+    windows = [(i, tuple(w[k : k + min(n, len(w))])) for i, t in items for w in [words(t)] if w for k in range(len(w) - min(n, len(w)) + 1)]
+    by = {}
+    for i, w in windows:
+        by.setdefault(w, set()).add(i)
+    sizes = {len(w) for w in by}
+    out = []
+    for i, t in docs:
+        got, hit, of = words(t), set(), set()
+        for size in sizes:
+            for k in range(len(got) - size + 1):
+                found = by.get(tuple(got[k : k + size]))
+                if found:
+                    of |= found
+                    hit |= set(range(k, k + size))
+        listed = sorted(map(str, of))
+        out.append((i, len(got), len(hit), len(of), hashlib.sha256(",".join(listed).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_query_equals_plain_search(spark, folder, read):
+    found = [tuple(r) for r in QUERIES["op3_decontamination"](spark, folder).collect()]
+    docs = [(r.doc_id, r.text) for r in read("documents").collect()]
+    items = [(r.item_id, r.text) for r in read("benchmark").collect()]
+    assert sorted(found, key=str) == plainly(docs, items)
+    assert any(r[5] for r in found) and not all(r[5] for r in found)
+
+
+LONG = " ".join(f"w{i}" for i in range(30_000))
+CASES = [(1, None), (2, ""), (3, "  ..  "), (4, "One, TWO three"), (4, "One, TWO three"), (None, "x one two THREE y"), (6, "É one"), (7, LONG)]
+
+
+@pytest.mark.parametrize("block_chars", [10**6, 12])
+def test_edges(spark, block_chars):
+    items = [(1, "one two three"), (2, None), (3, ""), (4, "é"), (5, "É"), (6, " ".join(f"W{i}" for i in range(100, 130))), (None, "y"), (1, "three y"), (1, "one two three")]
+    docs = spark.createDataFrame([(*c, "own") for c in CASES], DOCS)
+    rows = scan_benchmark(docs, spark.createDataFrame(items, ITEMS), block_chars=block_chars).collect()
+    got = {(r.doc_id, r.text): (r.n_words, r.n_hit, r.hit_items) for r in rows}
+    assert len(rows) == len(CASES)
+    assert got[1, None] == got[2, ""] == got[3, "  ..  "] == (0, 0, [])
+    assert got[4, "One, TWO three"] == (3, 3, [1])
+    assert got[None, "x one two THREE y"] == (5, 4, [1])
+    assert got[6, "É one"] == (2, 1, [5])  # only A-Z is lower-cased
+    assert got[7, LONG] == (30_000, 30, [6])
+    assert decontaminate(docs, spark.createDataFrame(items, ITEMS)).columns == docs.columns
+    left = decontaminate(docs, spark.createDataFrame(items, ITEMS), remove="spans", block_chars=block_chars).collect()
+    assert {r.text for r in left} >= {None, "", "  ..  ", "x ", " one"} and all(r.n_words == "own" for r in left)
+
+
+def test_empty_tables(spark):
+    docs, items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
+    assert scan_benchmark(docs, items).count() == 0
+    clean = scan_benchmark(spark.createDataFrame([(1, "a b", None)], DOCS), items).first()
+    assert (clean.n_words, clean.n_hit, clean.hit_items) == (2, 0, [])
