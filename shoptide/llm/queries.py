@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
+from shoptide.llm.packing import pack
+from shoptide.llm.tokens import count_tokens
+
+CONTEXT = 4096
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +37,29 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    pieces = pack(docs, tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
+    )
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text").cast("long"), F.lit(0).cast("long")).alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > CONTEXT).alias("over_limit"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op4_packing": op4_packing,
+    "op6_token_counts": op6_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
