@@ -25,7 +25,10 @@ A null or empty text is a document of the end id alone. A null source is the sou
 from __future__ import annotations
 
 import json
+import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -42,7 +45,7 @@ LENGTH = 2048
 UNIT = 16
 MAX_QUEUES = 1024
 BLOCK = 1024
-CACHE = 400_000
+CACHE = 300_000
 STEPS = 200_000  # units placed at a time
 FRACTION = 16  # bits behind the point of a quantum
 
@@ -51,10 +54,19 @@ SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s
 ODD = re.compile("[\x1c-\x1f²³¹¼½¾]|[^\x00-ɏ]")
 
 
+def native(ids: array) -> bytes:
+    """Little-endian bytes."""
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
+
+
 class BytePairs:
     """Ids of a tokenizers file as bytes, with a cache of pre-tokens."""
 
     def __init__(self, path: str):
+        # Spark's tasks use the cores; threads of the library would only get in each other's way
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -72,7 +84,8 @@ class BytePairs:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not texts:
             return []
-        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return [native(array(kind, x.ids)) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text. Where cutting may not be sure, the library takes the whole text."""

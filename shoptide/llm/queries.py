@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
+from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
 from shoptide.llm.tokens import count_tokens
+from shoptide.llm.warc import round_trip
 
 CONTEXT = 4096
 
@@ -56,10 +58,40 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op6_token_counts": op6_token_counts,
+    "op8_warc": op8_warc,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+        ), shared AS (
+            SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY payload) END AS first FROM payloads
+        )
+        SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+            CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id > first THEN first END AS refers_to
+        FROM shared
+    """,
+}
