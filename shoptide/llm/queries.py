@@ -11,6 +11,7 @@ from shoptide.llm.decontaminate import items_digest, scan_benchmark
 from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
 from shoptide.llm.tokens import count_tokens
+from shoptide.llm.toxicity import grade_toxicity, train
 from shoptide.llm.warc import round_trip
 
 CONTEXT = 4096
@@ -26,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"), F.col("toxic"))
+    graded = grade_toxicity(docs, model)
+    return graded.select("doc_id", "expected_severity", "p_toxic", "grade", (F.col("grade") > 0).alias("toxic"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan_benchmark(docs, table(spark, sf_dir, "benchmark"))
@@ -75,6 +83,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op6_token_counts": op6_token_counts,

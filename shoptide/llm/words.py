@@ -111,6 +111,25 @@ def find_words(data: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
+def prefix_hashes(words: Words, chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words that have at least so many characters, and the hashes of their first ones."""
+    begins_char = (words.data & 0xC0) != 0x80
+    places = np.append(np.flatnonzero(begins_char), len(words.data))
+    nth = np.searchsorted(places, words.starts)
+    stops = places[np.minimum(nth + chars, len(places) - 1)]
+    long = np.flatnonzero(stops <= words.ends)
+    out = np.empty(len(long), dtype=U64)
+    at = 0
+    while at < len(long):
+        base = words.starts[long[at]]
+        end = max(at + 1, int(np.searchsorted(words.starts[long], base + CHUNK)))
+        some = long[at:end]
+        data = words.data[base : stops[some[-1]]].astype(U64) + U64(1)
+        out[at:end] = BYTES.spans(data, words.starts[some] - base, stops[some] - base)
+        at = end
+    return long, mixed(out + U64(chars))
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a string array; null counts as empty."""
     if texts.null_count:
