@@ -40,6 +40,7 @@ SHARD = 4_096
 RECALL = 0.97
 ROUNDS = 8
 BLOCK = 1 << 22  # entries of a block of distances
+PENDING = 20_000  # queries whose best a task keeps before it gives them out
 
 
 @dataclass
@@ -115,7 +116,7 @@ def grow(sample: np.ndarray, branch: int = BRANCH, leaf: int = LEAF, seed: int =
     for node, rows in todo:  # grows while it is walked
         if len(rows) <= leaf:
             continue
-        found, label = split(sample[rows], branch, rng)
+        found, label = split(sample[rows], min(branch, -(-len(rows) // leaf)), rng)
         kept = np.unique(label)
         if len(kept) < 2:
             continue  # equal vectors
@@ -168,6 +169,31 @@ def best(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndar
             yield near[order], exact[order]
 
 
+class Best:
+    """The k nearest per query of what a task has found so far."""
+
+    def __init__(self, k: int):
+        self.k, self.found = k, {}
+
+    def add(self, query, ids: np.ndarray, away: np.ndarray) -> None:
+        parts = self.found.setdefault(query, [])
+        parts.append((ids, away))
+        if len(parts) > 8:
+            self.found[query] = [self.merged(parts)]
+
+    def merged(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        ids, away = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((ids, away))[: self.k]
+        return ids[order], away[order]
+
+    def flush(self) -> pa.RecordBatch:
+        merged = [self.merged(parts) for parts in self.found.values()]
+        queries = np.repeat(np.array(list(self.found)), [len(x) for x, _ in merged])
+        self.found = {}
+        columns = [queries, np.concatenate([x for x, _ in merged]), np.concatenate([x for _, x in merged])]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["query_id", "vec_id", "score"])
+
+
 def calibrate(tree: Tree, rows: DataFrame, counts: np.ndarray, width: int, k: int, n: int, recall: float) -> int:
     """Vectors that a query has to meet so that ``recall`` of the true neighbours are among them."""
     ids, queries = sampled(rows, n, width, salt=2)
@@ -267,7 +293,7 @@ def nearest_neighbours(
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows by leaf and shard, a shard's vectors before its queries: holds one shard, queries stream by."""
-        held, key = [], None
+        held, key, kept = [], None, Best(k)
         for batch in batches:
             leaf, part, asks = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("leaf", "shard", "asks"))
             new = np.flatnonzero((np.diff(leaf) != 0) | (np.diff(part) != 0) | (np.diff(asks.astype(int)) != 0)) + 1
@@ -282,15 +308,13 @@ def nearest_neighbours(
                 elif held:
                     if len(held) > 1:
                         held = [(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))]
-                    found = list(best(held[0][1], held[0][0], points, ids, k))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(ids, [len(x) for x, _ in found])),
-                            pa.array(np.concatenate([held[0][0][x] for x, _ in found])),
-                            pa.array(np.concatenate([away for _, away in found])),
-                        ],
-                        ["query_id", "vec_id", "score"],
-                    )
+                    names, vectors = held[0]
+                    for query, (near, away) in zip(ids, best(vectors, names, points, ids, k)):
+                        kept.add(query, names[near], away)
+                    if len(kept.found) > PENDING:
+                        yield kept.flush()
+        if kept.found:
+            yield kept.flush()
 
     both = candidates.withColumn("asks", F.lit(False)).unionByName(asking.withColumn("asks", F.lit(True)))
     met = both.repartition("leaf", "shard").sortWithinPartitions("leaf", "shard", "asks")
