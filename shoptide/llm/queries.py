@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
+from shoptide.llm.nearcopies import near_duplicates
 from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
 from shoptide.llm.tokens import count_tokens
@@ -66,6 +67,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return read.select(
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
     "op6_token_counts": op6_token_counts,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_warc": op8_warc,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
