@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
+from shoptide.llm.html_text import extract_text
 from shoptide.llm.nearcopies import near_duplicates
 from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
@@ -56,6 +57,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,
+    "op5_html_text": op5_html_text,
     "op6_token_counts": op6_token_counts,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_warc": op8_warc,
