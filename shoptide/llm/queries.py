@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
 from shoptide.llm.html_text import extract_text
+from shoptide.llm.linededup import dropped_lines
 from shoptide.llm.nearcopies import near_duplicates
 from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
@@ -29,6 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dropped_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"), F.col("toxic"))
@@ -93,6 +98,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_packing": op4_packing,

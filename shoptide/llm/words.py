@@ -46,12 +46,17 @@ class Powers:
                 setattr(self, name, np.cumprod(row, dtype=U64))
         return self.up[:n], self.down[:n]
 
-    def spans(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of values[start:end] for each pair, the same wherever the span stands."""
+    def raw(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The polynomial of values[start:end] for each pair. That of two spans one after the other is that of
+        the first plus that of the second times the base to the length of the first."""
         up, down = self.upto(len(values) + 1)
         total = np.zeros(len(values) + 1, dtype=U64)
         np.cumsum(values * up[:-1], out=total[1:])
-        return mixed((total[ends] - total[starts]) * down[starts])
+        return (total[ends] - total[starts]) * down[starts]
+
+    def spans(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of values[start:end] for each pair, the same wherever the span stands."""
+        return mixed(self.raw(values, starts, ends))
 
 
 BYTES = Powers(0x9E3779B97F4A7C15)

@@ -1,0 +1,83 @@
+"""Line dedup against comparing lines one by one."""
+
+import random
+
+import pytest
+
+from shoptide.llm.linededup import NEAR, dedup_lines, dropped_lines, one_edit
+from shoptide.llm.queries import QUERIES
+
+
+def words_of(line):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line)
+    return [w for w in lower.replace("\t", " ").replace("\r", " ").split(" ") if w]
+
+
+def plainly(docs):
+    """{(doc, line): edits} of the dropped lines; ids differ."""
+    seen, by_part, out = {}, {}, {}
+    for doc, text in sorted(docs):
+        for number, line in enumerate((text or "").split("\n")):
+            w = tuple(words_of(line))
+            if not w:
+                continue
+            variants = [w] + [(*w[:i], *w[i + 1 :]) for i in range(len(w))]
+            close = {x for v in variants for x in by_part.get(v, ())} - {w}
+            near = any(max(len(w), len(x)) >= NEAR and one_edit(list(w), list(x)) for x in close)
+            if w in seen or near:
+                out[doc, number] = near
+            if w not in seen:
+                seen[w] = True
+                for v in set(variants):
+                    by_part.setdefault(v, set()).add(w)
+    return out
+
+
+def test_query_equals_plain_comparison(spark, folder, read):
+    found = QUERIES["op1_line_dedup"](spark, folder).collect()
+    wanted = plainly([(r.doc_id, r.text) for r in read("documents").collect()])
+    assert sorted((r.doc_id, r.line) for r in found) == sorted(wanted)
+    assert any(r.edits for r in found)
+
+
+def test_edits_at_every_place_and_length(spark):
+    rng, docs = random.Random(5), []
+    for n in [1, 3, 4, 5, 6, 7, 8, 9, 15, 16, 17, 23, 24, 25, 35, 36, 37, 53, 54, 55, 130]:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        docs.append(" ".join(base))
+        for at in range(0, n + 1, max(1, n // 9)):
+            docs.append(" ".join([*base[:at], "new", *base[at:]]))
+            docs.append(" ".join([*base[:at], *base[at + 1 :]]))
+            docs.append(" ".join([*base[:at], "other", *base[at + 1 :]]))
+            docs.append(" ".join([*base[:at], "other", *base[at + 1 :], "twice"]))
+    rng.shuffle(docs)
+    rows = [(i, "\n".join(docs[i * 5 : i * 5 + 5])) for i in range(len(docs) // 5 + 1)]
+    found = dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    wanted = plainly(rows)
+    assert {(r.doc_id, r.line) for r in found} == wanted.keys()
+    # an equal line may stand before the first near one
+    assert all(wanted[r.doc_id, r.line] for r in found if r.edits)
+
+
+def test_a_hot_group_is_not_paired(spark):
+    rows = [(i, f"this is page {i} of the very same old book") for i in range(3000)]
+    found = dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept_doc_id, r.edits) for r in found} == {(i, 0, 1) for i in range(1, 3000)}
+
+
+LONG = " ".join(f"w{i}" for i in range(20_000))
+
+
+def test_edges(spark):
+    texts = [(1, None), (2, ""), (3, "\n \n"), (4, "a b\n\nA  b\nc"), (5, LONG), (6, LONG + " more\nkept"), (7, "c"), (8, "a c"), (None, "c"), (9, "x y z\nx y z"), (9, "x y z\nx y z")]
+    docs = spark.createDataFrame([(*t, "own", 3) for t in texts], "doc_id long, text string, line string, h1 int")
+    left = dedup_lines(docs)
+    assert left.columns == docs.columns
+    got = sorted(((str(r.doc_id), r.text) for r in left.collect()), key=str)
+    assert got == sorted([("1", None), ("2", ""), ("3", "\n \n"), ("4", "a b\n"), ("5", LONG), ("6", "kept"), ("8", "a c"), ("None", "c"), ("9", "x y z"), ("9", "x y z")], key=str)
+    assert dedup_lines(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("a", "b", "close"), [("a b c", "a b c", True), ("a b c", "a x c", True), ("a b c", "a c", True), ("a b", "b a", False), ("a", "", True), ("a b c d", "a b", False)])
+def test_one_edit(a, b, close):
+    assert one_edit(a.split(), b.split()) == close == one_edit(b.split(), a.split())
