@@ -90,9 +90,9 @@ def minima(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(id, n, class, check, minima): the class is 0 without a set; minima 32 bits each."""
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    schema = T.StructType([rows.schema["id"]]).add("n", "long").add("class", "long").add("check", "long").add("minima", "binary")
+    """(id, mark, n, class, check, minima): a hash of the text as it stands; the class is 0 without a set; minima 32 bits each."""
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    schema = T.StructType([rows.schema["id"]]).add("mark", "long").add("n", "long").add("class", "long").add("check", "long").add("minima", "binary")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,7 +103,7 @@ def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
                 held = iter(bits)
                 signs = [next(held).tobytes() if k else None for k in n]
                 made = [n, sums(hashes, first, 1), sums(hashes, first, 2)]
-                yield pa.RecordBatch.from_arrays([some.column("id"), *(pa.array(x) for x in made), pa.array(signs, pa.binary())], schema.names)
+                yield pa.RecordBatch.from_arrays([some.column("id"), some.column("mark"), *(pa.array(x) for x in made), pa.array(signs, pa.binary())], schema.names)
 
     return rows.mapInArrow(work, schema)
 
@@ -238,7 +238,7 @@ def near_duplicates(
     text: str = "text",
     rounds: int = ROUNDS,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each document. Links are pairs of texts whose sets of ``size`` words have at
+    """(id, n_shingles, component_id, kept, text_hash) of each document. Links are pairs of texts whose sets of ``size`` words have at
     least ``percent`` hundredths of their union in common; a component's id is its smallest id, whose document is kept."""
     signed = settle(signatures(docs, size, doc_id, text), "signatures")
     # one row a class: its smallest id
@@ -271,7 +271,17 @@ def near_duplicates(
         smallest = joined.groupBy("root").agg(F.min("own").alias("least"))
         owners = joined.join(smallest, "root").select("class", "check", F.col("least").alias("own"))
     owners = settle(owners, "owners")
-    result = signed.select("id", "n", "class", "check").join(owners, ["class", "check"], "left")
+    result = signed.select("id", "mark", "n", "class", "check").join(owners, ["class", "check"], "left")
     component = F.when(F.col("n") > 0, F.col("own")).otherwise(F.col("id"))
-    result = result.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    result = result.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("mark").alias("text_hash"))
     return result.withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: that of its smallest id. Rows that repeat an id and a text count as one
+    document and stay or go together."""
+    found = near_duplicates(docs, size, percent, doc_id, text).filter("not kept")
+    gone = settle(found.select(F.col(doc_id).alias("id"), F.col("text_hash").alias("mark")).distinct(), "gone")
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("own"), F.xxhash64(text).alias("own_mark"))
+    left = rows.join(gone, rows["own"].eqNullSafe(gone["id"]) & (rows["own_mark"] == gone["mark"]), "left_anti")
+    return left.select("row.*")

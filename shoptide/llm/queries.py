@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
 from shoptide.llm.html_text import extract_text
+from shoptide.llm.licenses import scan_licenses
 from shoptide.llm.linededup import dropped_lines
 from shoptide.llm.nearcopies import near_duplicates
 from shoptide.llm.neighbours import nearest_neighbours
@@ -18,6 +19,7 @@ from shoptide.llm.toxicity import grade_toxicity, train
 from shoptide.llm.warc import round_trip
 
 CONTEXT = 4096
+NOTICE_WORDS = 40
 
 
 def tokenizer_path(name: str) -> str:
@@ -54,14 +56,18 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+def packed_digest(docs: DataFrame) -> DataFrame:
     pieces = pack(docs, tokenizer_path("byte_bpe_50k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return packed_digest(docs)
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
 
@@ -78,7 +84,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +99,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files in directories by source and language. A document of at most NOTICE_WORDS words stands for a
+    licence file: if it states a licence, that holds for its directory."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    files = docs.withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
+    short = F.size(F.split("text", r"\s+")) <= NOTICE_WORDS
+    found = scan_licenses(files.select("doc_id", "path", "text"), licence_file=short)
+    return found.select("doc_id", "license", "score", "origin", "license_path")
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
@@ -106,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_warc": op8_warc,
+    "op9_licenses": op9_licenses,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 

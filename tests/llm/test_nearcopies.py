@@ -4,7 +4,7 @@ import random
 import re
 
 from shoptide.llm.components import components
-from shoptide.llm.nearcopies import near_duplicates
+from shoptide.llm.nearcopies import drop_near_duplicates, near_duplicates
 from shoptide.llm.queries import QUERIES
 
 
@@ -53,7 +53,8 @@ def test_a_large_group_of_near_copies(spark):
         docs.append((i, " ".join(words)))
     docs += [(500 + i, docs[7][1]) for i in range(200)] + [(1000 + i, " ".join(f"z{rng.randrange(10**6)}" for _ in range(60))) for i in range(100)]
     found = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=5)
-    assert sorted(tuple(r) for r in found.collect()) == plainly(docs, 5)
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(tuple(r) for r in found.select(columns).collect()) == plainly(docs, 5)
 
 
 def test_edges(spark):
@@ -66,6 +67,9 @@ def test_edges(spark):
     assert got >= {(1, 1, 0, True), (2, 2, 0, True), (3, 3, 0, True), (4, 4, 1, True), (5, 4, 1, False), (6, 6, 1, True), (8, 7, 29_998, False)}
     assert got >= {(9, 9, 1, True), (10, 10, 1, True), (11, 11, 1, True), (None, 11, 1, False)}
     assert near_duplicates(docs.limit(0)).count() == 0
+    left = drop_near_duplicates(docs, size=4)
+    assert left.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(map(str, [1, 2, 3, 4, 6, 7, 9, 10, 11, 11]))
 
 
 def test_components_of_a_chain(spark):
