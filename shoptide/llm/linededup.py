@@ -15,6 +15,9 @@ it deleted and the shorter as it is. Emitting a variant per word for every line
    made within a group, and a key of any size is combined before the shuffle. Longer lines meet the line that equals their variant.
 3. The words of each line and the earliest one found are compared.
 
+The joins are shuffles at every size: what they join grows with the corpus, so a broadcast that a small one allows tells
+nothing of the cost on a large one.
+
 Nulls and empty texts have no lines. A null id comes before all. Rows that repeat an id count as the same place, so a line never
 drops itself in its twin. A document that loses all its lines is dropped with them.
 """
@@ -116,7 +119,7 @@ def all_lines(docs: DataFrame) -> DataFrame:
 def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h1, h2, words) of the lines in ``wanted`` (doc, line, h1, h2), cut from their documents."""
     by_doc = wanted.groupBy(F.col("doc").alias("of")).agg(F.collect_list("line").alias("lines"))
-    rows = docs.join(by_doc, docs["doc"].eqNullSafe(by_doc["of"])).select("text", "lines")
+    rows = docs.join(by_doc.hint("shuffle_hash"), docs["doc"].eqNullSafe(by_doc["of"])).select("text", "lines")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,8 +172,8 @@ def near_earlier(docs: DataFrame, lines: DataFrame) -> DataFrame:
     keyed = lines.select(*PAIR, F.explode("keys").alias("key"))
     # the keys that different lines have: two hashes a key, whatever its rows
     shared = settle(keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low <> high").select("key"), "keys")
-    near = settle(keyed.join(shared, "key", "left_semi").select(*PAIR).distinct(), "near")
-    places = lines.join(near, PAIR, "left_semi").groupBy(*PAIR).agg(F.min(F.struct("doc", "line")).alias("place"))
+    near = settle(keyed.join(shared.hint("merge"), "key", "left_semi").select(*PAIR).distinct(), "near")
+    places = lines.join(near.hint("merge"), PAIR, "left_semi").groupBy(*PAIR).agg(F.min(F.struct("doc", "line")).alias("place"))
     places = settle(places, "places")
     cut = wanted_texts(docs, places.select("place.doc", "place.line")).join(places, PAIR).dropDuplicates(PAIR)
     texts = settle(cut.select(*PAIR, "place", "words").filter(F.size(F.split("words", " ")) >= NEAR - 1), "texts")
@@ -180,9 +183,9 @@ def near_earlier(docs: DataFrame, lines: DataFrame) -> DataFrame:
     same = settle(same.filter("n > 1").drop("n"), "same")
     whole = fine.groupBy(*x).agg(F.min(F.when(F.col("at") < 0, F.col("place"))).alias("whole"), F.min(F.when(F.col("at") >= 0, F.col("place"))).alias("longer"))
     whole = settle(whole.filter("whole is not null and longer is not null"), "whole")
-    met = fine.join(same, [*x, "at"]).select(*PAIR, "place", "earlier")
+    met = fine.join(same.hint("merge"), [*x, "at"]).select(*PAIR, "place", "earlier")
     other = F.when(F.col("at") < 0, F.col("longer")).otherwise(F.col("whole"))
-    met = met.unionByName(fine.join(whole, x).select(*PAIR, "place", other.alias("earlier")))
+    met = met.unionByName(fine.join(whole.hint("merge"), x).select(*PAIR, "place", other.alias("earlier")))
     found = met.filter("earlier < place").groupBy(*PAIR).agg(F.min("earlier").alias("earlier"))
     by_place = texts.select(F.col("place").alias("earlier"), F.col("words").alias("other"))
     pairs = found.join(texts.select(*PAIR, "words"), PAIR).join(by_place, "earlier")
@@ -206,7 +209,7 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     firsts = lines.groupBy(*PAIR).agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
     decided = firsts.join(near, PAIR, "left").filter("n > 1 or earlier is not null")
     decided = settle(decided.select(*PAIR, F.least(F.coalesce("earlier", "first"), "first").alias("target"), F.when(F.col("earlier") < F.col("first"), 1).otherwise(0).alias("edits")), "decided")
-    marked = lines.select("doc", "line", *PAIR).join(decided, PAIR).filter(F.struct("doc", "line") > F.col("target"))
+    marked = lines.select("doc", "line", *PAIR).join(decided.hint("merge"), PAIR).filter(F.struct("doc", "line") > F.col("target"))
     return marked.select(F.col("doc").alias(doc_id), "line", F.col("target.doc").alias("kept_doc_id"), F.col("target.line").alias("kept_line"), "edits")
 
 
