@@ -1,8 +1,8 @@
 """The realtime view: one row per user and product, kept as one Parquet folder per micro-batch.
 
-A micro-batch writes only what it changed, into a folder named by its id. Running it again
-replaces that folder, so a batch repeated after a failure changes nothing. Readers take the newest
-row per key. A target belongs to one checkpoint, because batch ids start again with a new one.
+A micro-batch writes the windows it changed, into a folder named by its id. Running it again
+replaces that folder, so a batch repeated after a failure changes nothing. Readers take each window's
+newest row and choose a key's window over all of them, so events may come in any order. A target belongs to one checkpoint, because batch ids start again with a new one.
 """
 
 from __future__ import annotations
@@ -22,35 +22,47 @@ _BATCH = "batch_id"
 TTL_SECONDS = 600
 
 
-def upsert_realtime_view(
-    batch: DataFrame, batch_id: int, target: str, trail_seconds: int = TRAIL_SECONDS
-) -> None:
-    """Store the batch's row per key. A failed write fails the batch, which is then repeated."""
-    trailing_window(batch, trail_seconds).write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
+def upsert_realtime_view(batch: DataFrame, batch_id: int, target: str) -> None:
+    """Store all window rows that the batch updated. A failed write fails the batch, which is then repeated."""
+    batch.write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
 
 
-def newest_per_key(deltas: DataFrame) -> DataFrame:
-    """The row with the latest ``computed_time`` per user and product; of equals, that of the later batch."""
-    values = [c for c in deltas.columns if c not in ("user_id", "product_id", _BATCH)]
-    age = F.struct("computed_time", _BATCH)
+def latest_windows(deltas: DataFrame) -> DataFrame:
+    """Each window's newest row. A late event changes windows of the past; a window's counts only ever grow, so
+    the row with most events is the newest, whichever batch brought it, and of equals that of the later batch."""
+    key = ["user_id", "product_id", "product_name", "category", "computed_time"]
+    values = [c for c in deltas.columns if c not in (*key, _BATCH)]
+    age = F.struct(F.col("view_count") + F.col("cart_count") + F.col("purchase_count"), _BATCH)
     return (
-        deltas.groupBy("user_id", "product_id")
+        deltas.groupBy(*key)
         .agg(F.max_by(F.struct(*values), age).alias("_row"))
-        .select("user_id", "product_id", "_row.*")
+        .select(*key, "_row.*")
+        .select(*[c for c in deltas.columns if c != _BATCH])
     )
 
 
-def read_realtime_view(
-    spark: SparkSession, target: str, as_of: date | datetime | None = None, ttl_seconds: int = TTL_SECONDS
-) -> DataFrame:
-    """The view at ``target``; with ``as_of`` without the rows that have expired by then."""
+def read_windows(spark: SparkSession, target: str) -> DataFrame:
+    """All windows stored at ``target``, one row each."""
     stored = StructType([*REALTIME_VIEW.fields, StructField(_BATCH, LongType())])
     deltas = read_or_none(lambda: spark.read.schema(stored).parquet(target))
-    if deltas is None:
-        return empty_table(spark, REALTIME_VIEW)
-    if as_of is not None:
-        deltas = expire_realtime_view(deltas, as_of, ttl_seconds)
-    return newest_per_key(deltas)
+    return empty_table(spark, REALTIME_VIEW) if deltas is None else latest_windows(deltas)
+
+
+def read_realtime_view(
+    spark: SparkSession,
+    target: str,
+    as_of: date | datetime | None = None,
+    ttl_seconds: int = TTL_SECONDS,
+    trail_seconds: int = TRAIL_SECONDS,
+) -> DataFrame:
+    """The view at ``target``: per user and product the window right after the newest event, chosen over all
+    stored windows; with ``as_of`` without the rows that have expired by then."""
+    windows = read_windows(spark, target)
+    if as_of is None:
+        return trailing_window(windows, trail_seconds)
+    # a row that is alive has nothing older than its trail to be chosen over
+    recent = expire_realtime_view(windows, as_of, ttl_seconds + trail_seconds)
+    return expire_realtime_view(trailing_window(recent, trail_seconds), as_of, ttl_seconds)
 
 
 def expire_realtime_view(

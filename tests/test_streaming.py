@@ -1,7 +1,8 @@
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from shoptide.schemas import RAW_MESSAGE, REALTIME_VIEW
 from shoptide.streaming.events import parse_activity_events
@@ -143,3 +144,21 @@ def test_raw_append(spark, tmp_path):
         drop(box, f"f{step}", json.dumps({"user_id": step, "action": "view", "item_id": "i", "timestamp": 5}))
         start_raw_append(stream(spark, box), out, state, trigger=ONCE).awaitTermination()
     assert sorted(spark.read.schema(RAW_MESSAGE).parquet(out).collect()) == [(0, "view", "i", 5), (1, "view", "i", 5)]
+
+
+def test_out_of_order_events_are_merged(spark, tmp_path):
+    start = datetime(2025, 1, 1)
+    schema = "user_id string, product_id string, product_name string, category string, event_type string, event_timestamp timestamp"
+
+    def counted(minutes):
+        rows = [("u", "p", "n", "c", "view", start + timedelta(minutes=m)) for m in minutes]
+        return realtime_trend_score(sliding_user_interest(spark.createDataFrame(rows, schema)))
+
+    minutes, seen = [3, 1, 4, 0, 2, 1], []
+    for k, minute in enumerate(minutes):
+        seen.append(minute)
+        every = counted(seen)
+        since = F.col("computed_time") - F.lit(start + timedelta(minutes=minute)).cast("long")
+        upsert_realtime_view(every.filter((since > 0) & (since <= 300)), k, str(tmp_path))
+        found, wanted = read_realtime_view(spark, str(tmp_path)), trailing_window(every)
+        assert [tuple(r) for r in found.select(wanted.columns).collect()] == [tuple(r) for r in wanted.collect()]
