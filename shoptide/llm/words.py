@@ -14,8 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
-BATCH_BYTES = 2 << 20
+CHUNK = 1 << 19
+BATCH_BYTES = 1 << 20
 U64 = np.uint64
 
 LOWER = np.arange(256, dtype=np.uint8)
