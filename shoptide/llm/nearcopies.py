@@ -25,6 +25,7 @@ the component of their text each. Column names cannot clash: only the id and the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,6 @@ WINDOW = 256
 PARTNERS = 3
 HUBS = 4
 MARGIN = 0.1  # below the threshold, what a signature may say of a linked pair: three deviations
-ROUNDS = 12  # more orders than this are not drawn; the rounds end when one links nothing new
 
 _RNG = np.random.default_rng(20_240_601)
 FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -236,7 +236,6 @@ def near_duplicates(
     percent: int = PERCENT,
     doc_id: str = "doc_id",
     text: str = "text",
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept, text_hash) of each document. Links are pairs of texts whose sets of ``size`` words have at
     least ``percent`` hundredths of their union in common; a component's id is its smallest id, whose document is kept."""
@@ -246,7 +245,7 @@ def near_duplicates(
     least = max(0.0, percent / 100 - MARGIN)
     nodes = classes.withColumn("root", F.col("class"))
     links, tested, mapping = None, None, None
-    for order in range(rounds):
+    for order in count():  # ends: every further round joins components
         pairs = candidates(forest(nodes, order), least)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
