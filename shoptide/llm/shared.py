@@ -8,6 +8,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def narrow_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on the session's Arrow batches hold at most ``size``, instead of ten thousand texts whatever their length. A batch
+    stands in the JVM and in the Python worker at once, for each task. Results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder's path under the cluster's checkpoint folder. Only a local session may lack one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
