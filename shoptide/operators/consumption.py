@@ -7,11 +7,9 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptide.functions.spread import collect_lists, hot_keys, spread_join
+from shoptide.functions.spread import hot_keys, spread_join
 from shoptide.operators.segments import COMPLETED
 
-MAX_LIST_ROWS = 100_000
-
 # Money is summed as a decimal: a sum of doubles depends on the order of the rows.
 MONEY = "decimal(18,2)"
 
@@ -108,13 +106,11 @@ def user_consumption_profile(
     order_items: DataFrame,
     products: DataFrame,
     completed: Collection[str] = COMPLETED,
-    max_list_rows: int = MAX_LIST_ROWS,
     settle=lambda months: months,
 ) -> DataFrame:
     """One row per user: averages, latest month's spending and four aligned lists of its products.
 
-    A user with more than ``max_list_rows`` lines in the month gets several rows, numbered by
-    ``profile_part``, which together hold all lines; everybody else has the one part 0.
+    The lists are as long as the user's month: the view itself asks for them on one row.
     ``settle`` may materialise the monthly totals, which are far fewer than the orders and read often.
     """
     months = settle(_by_month(orders, completed))
@@ -128,14 +124,8 @@ def user_consumption_profile(
         )
     )
     lines = latest_month_items(orders, order_items, products, completed, months)
-    lists = collect_lists(
-        lines,
-        "user_id",
-        ["product_id", "product_name", "category", "price"],
-        into="_lines",
-        part="profile_part",
-        max_rows=max_list_rows,
-    )
+    line = F.struct("product_id", "product_name", "category", "price")
+    lists = lines.groupBy("user_id").agg(F.sort_array(F.collect_list(line)).alias("_lines"))
     return (
         users.select("user_id")
         .join(spending, "user_id", "left")
@@ -148,6 +138,5 @@ def user_consumption_profile(
             F.col("_lines.product_name").alias("products_in_latest_month"),
             F.col("_lines.category").alias("categories_in_latest_month"),
             F.col("_lines.price").alias("product_prices_in_latest_month"),
-            F.coalesce("profile_part", F.lit(0)).alias("profile_part"),
         )
     )

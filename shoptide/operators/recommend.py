@@ -83,9 +83,10 @@ def _scored(rows: DataFrame, facts: DataFrame, weights, priority, other) -> Data
     )
 
 
-def _merit() -> Column:
-    """Larger is better: score, then priority of the type, then its name; null loses to any score."""
-    return F.struct("final_score", "_priority", "type")
+def _place() -> Column:
+    """Smaller is better: score, then priority of the type, then its name; null loses to any score."""
+    score = F.col("final_score")
+    return F.struct(score.isNull(), (-score).alias("worse"), -F.col("_priority"), "type")
 
 
 def score_candidates(
@@ -99,12 +100,12 @@ def score_candidates(
     return (
         _scored(candidates, trending.select("product_id", "trend_score"), weights, priority, other)
         .groupBy("user_id", "product_id")
-        .agg(F.max(_merit()).alias("_best"))
+        .agg(F.min(_place()).alias("_best"))
         .select(
             "user_id",
             "product_id",
             F.col("_best.type").alias("type"),
-            F.col("_best.final_score").alias("final_score"),
+            (-F.col("_best.worse")).alias("final_score"),
         )
     )
 

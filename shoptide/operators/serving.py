@@ -7,8 +7,6 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoptide.functions.spread import collect_lists
-
 PAGE = 50
 
 # Scores are summed as decimals: a sum of doubles, and any ranking by it, depends on the order of the rows.
@@ -66,25 +64,25 @@ def serve_batch_recommendations(
 ) -> DataFrame:
     """Each user's segment and list of recommendations, best first.
 
-    A user with more than ``max_list_rows`` recommendations gets several lists, numbered by ``part``.
+    Lists are pages of ``max_list_rows`` places of the ranking, numbered by ``part``: a page's entries all rank
+    before those of the next, and which page a recommendation is on follows from its place alone.
     """
     wanted = _only(recommendations, "user_id", user_ids)
-    lists = collect_lists(
-        wanted.withColumn("_worse", -F.col("recommendation_score")),
-        "user_id",
-        [
-            F.col("_worse").isNull().alias("unscored"),
-            "_worse",
-            "product_id",
-            "product_name",
-            "category",
-            F.col("recommendation_score").alias("score"),
-            "recommendation_type",
-            "segment_name",
-        ],
-        into="_list",
-        part="part",
-        max_rows=max_list_rows,
+    best_first = Window.partitionBy("user_id").orderBy(F.desc_nulls_last("recommendation_score"), "product_id")
+    entry = F.struct(
+        "place",
+        "product_id",
+        "product_name",
+        "category",
+        F.col("recommendation_score").alias("score"),
+        "recommendation_type",
+        "segment_name",
+    )
+    # the ranking and the pages stand on one shuffle, by user
+    lists = (
+        wanted.withColumn("place", F.row_number().over(best_first))
+        .groupBy("user_id", F.floor((F.col("place") - 1) / max_list_rows).cast("int").alias("part"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("_list"))
     )
     shape = ("product_id", "product_name", "category", "score", "recommendation_type")
     entries = F.transform("_list", lambda r: F.struct(*[r[name].alias(name) for name in shape]))

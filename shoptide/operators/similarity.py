@@ -21,6 +21,7 @@ from shoptide.functions.scoring import price_similarity
 from shoptide.functions.spread import FAN_OUT_ROWS, count_keys, hot_keys, keep_partitions, spread_join
 
 CELL_POINTS = 5_000
+QUANTILES = 1_000  # of a category's price points, found in one pass; cells end at some of them
 _POINT = ["category", "price"]
 
 
@@ -35,13 +36,30 @@ def _first_ids(rows: DataFrame, keys: list[str], count: int) -> DataFrame:
     )
 
 
-def _in_cells(points: DataFrame, priced: DataFrame, low: Column, price_range: Column, cell_points: int) -> DataFrame:
-    """``points`` with their cell: a category of n price points is cut into n / cell_points equal stretches."""
-    prices = priced.select("category", "price").distinct()
-    big = hot_keys(count_keys(prices, ["category"]), ["category"], min_rows=cell_points)
-    stretch = F.floor((F.col("price") - low) / price_range * F.col("_parts"))
-    cell = F.coalesce(F.least(stretch, F.col("_parts") - 1), F.lit(0)).cast("int")
-    return points.join(F.broadcast(big), "category", "left").withColumn("_cell", cell).drop("_parts")
+def cell_ends(priced: DataFrame, cell_points: int) -> DataFrame:
+    """(category, _ends) of the categories with more than ``cell_points`` price points: the prices, rising, that end all
+    but the last of their cells. Cells hold about as many points each, however the prices are spread."""
+    shares = [i / QUANTILES for i in range(1, QUANTILES)]
+    big = (
+        priced.select(*_POINT)
+        .distinct()
+        .groupBy("category")
+        .agg(F.count("*").alias("_n"), F.percentile_approx("price", shares, 10 * QUANTILES).alias("_at"))
+        .filter(F.col("_n") > cell_points)
+        .withColumn("_cells", F.least(F.ceil(F.col("_n") / cell_points), F.lit(QUANTILES)).cast("int"))
+    )
+    number = F.sequence(F.lit(1), F.col("_cells") - 1)
+    ends = F.transform(number, lambda i: F.element_at("_at", F.floor(i * QUANTILES / F.col("_cells")).cast("int")))
+    return big.select("category", ends.alias("_ends"))
+
+
+def _in_cells(points: DataFrame, priced: DataFrame, cell_points: int) -> DataFrame:
+    """``points`` with their cell; the one cell of a small category is 0."""
+    below = F.size(F.filter("_ends", lambda end: end < F.col("price")))
+    cell = F.when(F.col("_ends").isNull(), 0).otherwise(below)
+    # at most one end for cell_points price points
+    ends = F.broadcast(cell_ends(priced, cell_points))
+    return points.join(ends, "category", "left").withColumn("_cell", cell).drop("_ends")
 
 
 def _with_borders(points: DataFrame, k: int) -> DataFrame:
@@ -97,7 +115,7 @@ def product_similarity(
     price_range = F.when(high > low, high - low).otherwise(F.lit(1.0))
     # one product more than asked for, as a product is not its own partner
     keep = k + 1
-    points = _in_cells(_first_ids(priced, _POINT, keep), priced, low, price_range, cell_points)
+    points = _in_cells(_first_ids(priced, _POINT, keep), priced, cell_points)
     points = points.withColumn("_range", price_range)
     axis = Window.partitionBy("category", "_cell").orderBy("price").rowsBetween(-k, k)
     near = F.collect_list(F.struct("price", "_ids")).over(axis)

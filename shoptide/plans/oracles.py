@@ -237,7 +237,7 @@ lists as (
         """
 select c_custkey as user_id, coalesce(avg_order_value, 0) as avg_order_value,
        coalesce(monthly_spending, 0) as monthly_spending, product_ids_in_latest_month, products_in_latest_month,
-       categories_in_latest_month, product_prices_in_latest_month, cast(0 as integer) as profile_part
+       categories_in_latest_month, product_prices_in_latest_month
 from customer left join means on means.user_id = c_custkey left join last_spent on last_spent.user_id = c_custkey
      left join lists on lists.user_id = c_custkey""",
     ),
@@ -257,6 +257,7 @@ from customer left join means on means.user_id = c_custkey left join last_spent
         f"{_SPENDING}, {_TREND}, {_SIMILAR}, {_RULES}, {_BASE}, {_CANDIDATES}, {_SCORED}", "select * from scored"
     ),
     "user_recommendations": _sql(_RECOMMENDED, "select * from recommended"),
+    "run_batch": _sql(_RECOMMENDED, "select * exclude (segment_name) from recommended"),
     "serve_batch_recommendations": _sql(
         _RECOMMENDED,
         """

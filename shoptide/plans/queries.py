@@ -87,7 +87,7 @@ def user_consumption_profile(spark: SparkSession, folder: str) -> DataFrame:
         "product_prices_in_latest_month",
     )
     return _profile(spark, folder).select(
-        "user_id", "avg_order_value", "monthly_spending", *[_joined(c) for c in lists], "profile_part"
+        "user_id", "avg_order_value", "monthly_spending", *[_joined(c) for c in lists]
     )
 
 
@@ -155,7 +155,7 @@ def user_recommendations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
-    """All six views written to a folder of their own, segments by KMeans; the last of them."""
+    """All six views written to a folder of their own; the last of them, without the segments, which KMeans makes."""
     t = StarTables(spark, folder)
     inputs = {
         "users": t.users,
@@ -171,7 +171,7 @@ def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
         "product_complementary": {"min_count": MIN_COUNT},
     }
     views = run_batch(inputs, _scratch(spark, "batch-views"), EVENTS_TODAY, options)
-    return views["user_recommendations_batch"].drop("computed_date")
+    return views["user_recommendations_batch"].drop("computed_date", "segment_name")
 
 
 def activity_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,14 +73,14 @@ def test_profile(shop):
     assert one["products_in_latest_month"] == ["one", "one", "two", "unknown"]
     assert one["categories_in_latest_month"] == ["Toys", "Toys", "Books", "unknown"]
     assert one["product_prices_in_latest_month"] == [1.5, 1.5, 2.5, 0.0]
-    assert (one["monthly_spending"], one["profile_part"]) == (50.3, 0)
+    assert one["monthly_spending"] == 50.3
     for user in ("u2", "u3"):
         assert found[user]["avg_order_value"] == 0.0 and found[user]["monthly_spending"] == 0.0
         assert found[user]["product_ids_in_latest_month"] is None
 
 
 def test_one_user_with_most_of_the_rows(spark, monkeypatch):
-    """The hot user's month is cut into slots and their list into parts; nothing is lost."""
+    """The hot user's month is cut into slots; they still have one row, and nothing is lost."""
     monkeypatch.setattr(consumption, "hot_keys", lambda c, k: spread.hot_keys(c, k, min_rows=20))
     day = datetime(2025, 9, 9)
     orders = spark.createDataFrame(
@@ -92,11 +92,10 @@ def test_one_user_with_most_of_the_rows(spark, monkeypatch):
     items = spark.createDataFrame(lines, ITEMS).repartition(4)
     users = spark.createDataFrame([("hot",)] + [(f"u{i}",) for i in range(50)], "user_id string")
     products = spark.createDataFrame([(f"P{i}", "p", "c", 1.0) for i in range(7)], PRODUCTS)
-    rows = user_consumption_profile(users, orders, items, products, max_list_rows=25).collect()
-    hot = [r for r in rows if r["user_id"] == "hot"]
-    assert len(hot) > 1 and len({r["profile_part"] for r in hot}) == len(hot)
-    assert sorted(p for r in hot for p in r["product_ids_in_latest_month"]) == sorted(f"P{i % 7}" for i in range(300))
-    assert {r["monthly_spending"] for r in hot} == {300.0}
+    rows = user_consumption_profile(users, orders, items, products).collect()
+    (hot,) = [r for r in rows if r["user_id"] == "hot"]
+    assert hot["product_ids_in_latest_month"] == sorted(f"P{i % 7}" for i in range(300))
+    assert hot["monthly_spending"] == 300.0
     others = [r for r in rows if r["user_id"] != "hot"]
     assert len(others) == 50 and all(len(r["product_ids_in_latest_month"]) == 4 for r in others)
 

@@ -1,4 +1,6 @@
+import bisect
 import random
+from collections import Counter
 
 import pytest
 
@@ -58,6 +60,16 @@ def test_equals_brute_force(spark, name, cell_points):
     assert found(spark, CASES[name], k=3, cell_points=cell_points) == brute_force(CASES[name], 3)
 
 
+def test_cells_of_skewed_prices_are_of_even_size(spark):
+    rng = random.Random(5)
+    rows = [(f"p{i}", "x", rng.lognormvariate(3, 2)) for i in range(4_000)] + [("q", "y", 1.0)]
+    priced = spark.createDataFrame(rows, PRODUCTS)
+    (ends,) = similarity.cell_ends(priced, cell_points=100).collect()
+    assert ends["category"] == "x" and ends["_ends"] == sorted(ends["_ends"])
+    sizes = Counter(bisect.bisect_left(ends["_ends"], price) for _, category, price in rows if category == "x")
+    assert len(sizes) == 40 and max(sizes.values()) <= 200
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_brute_force_on_random_catalogues(spark, seed, monkeypatch):
     monkeypatch.setattr(similarity, "hot_keys", lambda c, k, min_rows=5: spread.hot_keys(c, k, min_rows=min(min_rows, 8)))

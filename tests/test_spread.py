@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shoptide.functions.spread import add_slot, collect_lists, count_keys, hot_keys, spread_join
+from shoptide.functions.spread import add_slot, count_keys, hot_keys, spread_join
 
 
 @pytest.fixture(scope="module")
@@ -45,12 +45,3 @@ def test_join_is_the_plain_join(spark, rows, how, min_rows):
     hot = hot_keys(counts_of(rows), ["k"], min_rows=min_rows)
     plain = lambda frame: sorted(tuple((v is None, v) for v in r) for r in frame.collect())
     assert plain(spread_join(rows, lookup, ["k"], hot, how)) == plain(rows.join(lookup, ["k"], how))
-
-
-def test_lists_hold_everything(rows):
-    known = rows.filter("k is not null")
-    lists = collect_lists(known, "k", ["v"], "vs", "part", max_rows=100).collect()
-    assert sum(len(r["vs"]) for r in lists) == known.count()
-    assert {r["part"] for r in lists if r["k"] != 0} == {0}
-    assert max(len(r["vs"]) for r in lists) < 200
-    assert all([e["v"] for e in r["vs"]] == sorted(e["v"] for e in r["vs"]) for r in lists)
