@@ -8,7 +8,8 @@ square into more pairs than the rest of the data; such baskets are met from the
 there are L of them, a pair that reaches ``min_count`` must occur ``min_count - L`` times in the
 ordinary ones, so the pairs found there are the only candidates, and for each of those the
 large baskets holding both products are counted. That is exact as long as L < min_count; if there
-are more, only the largest are treated so, and the bound becomes the size of the next one.
+are more, only the largest are treated so. The others are cut into blocks by the hash of the product, and
+paired block by block, so that none is one row or one task's work.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptide.functions.clock import epoch_ms
 from shoptide.functions.scoring import complementary_score
-from shoptide.functions.spread import count_keys, hot_keys, spread_join
+from shoptide.functions.spread import count_keys, hot_keys, keep_partitions, spread_join
 
 MIN_SUPPORT = 1e-4
 MIN_CONFIDENCE = 5e-3
@@ -62,6 +63,7 @@ class BasketCensus:
     lines: int
     repeats: int  # orders of more than max_repeats lines that are all one product
     large: int  # baskets of more than max_basket lines
+    blocked: int  # baskets of more than max_repeats lines, up to max_basket
     min_count: int
     max_basket: int
     max_repeats: int
@@ -83,6 +85,7 @@ def basket_census(
             F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
             F.count_if(~F.col("_mixed") & (F.col("n") > max_basket)).alias("repeats"),
             F.count_if(F.col("_mixed") & above).alias("large"),
+            F.count_if(F.col("_mixed") & (F.col("n") > max_basket) & ~above).alias("blocked"),
         )
         return counts.first().asDict()
 
@@ -108,18 +111,18 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
     """Counts of the frequent products and of their frequent pairs."""
     known = basket_census(order_items, min_support, min_count, max_basket)
     lines = _lines(order_items)
-    big = None
-    if known.max_basket > max_basket:
-        # baskets of many copies are among the ordinary ones now
-        lines = lines.distinct()
-    if known.repeats or known.large:
-        per_order = _orders(_lines(order_items))
-        apart = per_order.filter(F.col("n") > F.when(F.col("_mixed"), known.max_basket).otherwise(known.max_repeats))
-        if known.repeats + known.large <= BROADCAST_IDS:
-            apart = F.broadcast(apart)
+    big = blocked = None
+    if known.repeats or known.large or known.blocked:
+        apart = _orders(lines).filter(F.col("n") > max_basket)
+        few = known.repeats + known.large + known.blocked <= BROADCAST_IDS
+        hint = F.broadcast if few else lambda ids: ids
         if known.large:
-            big = lines.join(apart.filter("_mixed"), "order_id", "left_semi").distinct()
-        lines = lines.join(apart, "order_id", "left_anti")
+            big = lines.join(hint(apart.filter(F.col("_mixed") & (F.col("n") > known.max_basket))), "order_id", "left_semi").distinct()
+        if known.blocked:
+            cut = apart.filter(F.col("_mixed") & (F.col("n") <= known.max_basket))
+            cut = cut.select("order_id", F.ceil(F.col("n") / max_basket).cast("int").alias("_blocks"))
+            blocked = lines.join(hint(cut), "order_id").distinct()
+        lines = lines.join(hint(apart), "order_id", "left_anti")
     # one shuffle by order, at most max_basket lines each
     sets = (
         lines.repartition("order_id")
@@ -128,7 +131,10 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
         .filter(F.size("items") > 1)
     )
     members = sets.select("order_id", F.explode("items").alias("product_id"))
-    counted = members if big is None else members.unionByName(big)
+    counted = members
+    for others in (big, blocked):
+        if others is not None:
+            counted = counted.unionByName(others.select("order_id", "product_id"))
     singles = counted.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") >= known.min_count)
     if known.min_count > 1 and known.lines // known.min_count <= BROADCAST_IDS:
         # so few products can be frequent that the others are dropped before pairing, in place
@@ -137,10 +143,14 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
         sets = members.groupBy("order_id").agg(F.sort_array(F.collect_list("product_id")).alias("items"))
 
     after = F.slice("items", F.col("i") + 2, F.size("items"))
+    paired = sets.select("items", F.posexplode("items").alias("i", "a")).select("a", F.explode(after).alias("b"))
+    if blocked is not None:
+        if known.min_count > 1:
+            hot = hot_keys(count_keys(blocked, ["product_id"]), ["product_id"])
+            blocked = spread_join(blocked, singles.select("product_id"), ["product_id"], hot, "left_semi")
+        paired = paired.unionByName(_pairs_by_block(blocked))
     pairs = (
-        sets.select("items", F.posexplode("items").alias("i", "a"))
-        .select("a", F.explode(after).alias("b"))
-        .groupBy("a", "b")
+        paired.groupBy("a", "b")
         .agg(F.count("*").alias("n_ab"))
         .filter(F.col("n_ab") >= max(1, known.min_count - known.large))
     )
@@ -154,6 +164,27 @@ def _mine(order_items: DataFrame, min_support: float, min_count: int | None, max
     return _Mined(known, settle(pairs.select("a", "b", "n_ab")), singles)
 
 
+def _pairs_by_block(lines: DataFrame) -> DataFrame:
+    """Pairs a < b of the distinct lines (order_id, product_id, _blocks) of each order: every two blocks of an order meet in
+    a group of their own, which holds two blocks' products and no more."""
+    block = F.pmod(F.xxhash64("product_id"), F.col("_blocks")).cast("int")
+    met = lines.withColumn("_block", block).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    low, high = F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high")
+
+    def products_of(end: str) -> Column:
+        return F.collect_list(F.when(F.col("_block") == F.col(end), F.col("product_id")))
+
+    met = met.select("order_id", low, high, "_block", "product_id")
+    groups = keep_partitions(met, ["order_id", "_low", "_high"]).groupBy("order_id", "_low", "_high")
+    sides = groups.agg(products_of("_low").alias("_left"), products_of("_high").alias("_right"))
+    pairs = sides.select("_low", "_high", "_right", F.explode("_left").alias("_one"))
+    # inside one block, each pair once
+    pairs = pairs.select("_low", "_high", "_one", F.explode("_right").alias("_two")).filter(
+        (F.col("_low") < F.col("_high")) | (F.col("_one") < F.col("_two"))
+    )
+    return pairs.select(F.least("_one", "_two").alias("a"), F.greatest("_one", "_two").alias("b"))
+
+
 def _for_both(pairs: DataFrame, facts: DataFrame, how: str) -> DataFrame:
     """``facts`` of both products of a pair, its columns suffixed _a and _b."""
     joined = pairs

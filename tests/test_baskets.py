@@ -98,6 +98,23 @@ def test_one_order_with_a_third_of_all_lines(spark, monkeypatch):
     assert sorted(baskets(frame).collect()) == sorted(wanted)
 
 
+def test_large_baskets_are_paired_in_blocks(spark):
+    """Three baskets too large to be paired whole, of which a pair needs two: one is met from the other end, two in blocks."""
+    orders = {f"o{i}": [f"P{k:03}" for k in range(i, 120, i + 1)] for i in range(3)} | {"x": ["P000", "P001"]}
+    frame = lines(spark, orders)
+    known = basket_census(frame, min_count=2, max_basket=10)
+    assert (known.large, known.blocked) == (1, 2)
+    found = rules_of(copurchase_rules(frame, min_count=2, max_basket=10, settle=settle))
+    assert found == by_hand(orders, 2, 0.005)
+
+
+def test_no_group_of_blocks_holds_a_whole_basket(spark):
+    items = spark.range(1_000).select(F.lit("o").alias("order_id"), F.format_string("P%04d", "id").alias("product_id"))
+    pairs = module._pairs_by_block(items.withColumn("_blocks", F.lit(20)))
+    assert pairs.count() == pairs.distinct().count() == 1_000 * 999 // 2
+    assert pairs.filter("a >= b").isEmpty()
+
+
 def test_size_bound_is_raised_until_it_is_exact(spark):
     orders = random_orders(7, giants=(20, 21, 22, 23))
     for min_count in (1, 2, 3, 9):
