@@ -12,11 +12,15 @@
    large groups of copies of one text meet at that text.
 4. Proposals are confirmed on full sets: the links are exact.
 5. Further rounds propose across the components found so far, with other orders and again the best partners, now of
-   other components only, until a round links nothing new. This is what finds links that the few best partners of
-   a class in a dense region did not show.
+   other components only, until a round links nothing new.
+6. What the forest did not show is found by an exact join, so nothing above decides on the result. Shingles have one order, the
+   seldom ones first. Two sets that are similar enough have their first common shingle early in both (the prefix filter), where
+   enough of both is left behind it. Classes of different components that share a shingle at such places are confirmed on full sets.
+   The forest's components keep copies of one text from meeting pair by pair, and members of a template family meet
+   at the template's shingles only if they differ in few others.
 
-What may be missed: a pair that meets in no tree (1 in 100,000 at similarity 0.8, less above), and in a dense region one that is
-never among a class's most similar partners of another component in any round.
+No link is missed but by equal 64-bit hashes. Pairs of the join grow with the square of a group only where many different components
+share seldom shingles at early places.
 
 A null or empty text has no set, is its own component and kept. A null id counts as larger than any. Rows that repeat an id are in
 the component of their text each. Column names cannot clash: only the id and the text are read.
@@ -46,7 +50,10 @@ HASHES = 128
 WINDOW = 256
 PARTNERS = 3
 HUBS = 4
-MARGIN = 0.1  # below the threshold, what a signature may say of a linked pair: three deviations
+MARGIN = 0.1  # below the threshold, what a signature may say of a pair that the forest proposes
+BUCKETS = 1 << 21  # counts that order shingles; any order gives the same links
+SLICE = 1 << 12
+PAIRS = 1 << 18  # pairs that a task makes at a time
 
 _RNG = np.random.default_rng(20_240_601)
 FACTORS = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,6 +237,104 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
 
 
+def shingle_counts(docs: DataFrame, size: int, text: str) -> np.ndarray:
+    """How many texts have a shingle of each of BUCKETS buckets."""
+
+    def count_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for some in small_batches(batch, "text"):
+                hashes, _ = shingle_sets(some.column("text"), size)
+                np.add.at(total, buckets(hashes), 1)
+        slices = total.reshape(-1, SLICE)
+        used = np.flatnonzero(slices.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([slices[k].tobytes() for k in used], pa.binary())], ["slice", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLICE, np.int64)
+        for held in table.column("counts"):
+            total += np.frombuffer(held.as_py(), np.int64)
+        return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "slice long, counts binary"
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(count_texts, schema).groupBy("slice").applyInArrow(add, schema)
+    counts = np.zeros((BUCKETS // SLICE, SLICE), np.int64)
+    for row in counted.collect():
+        counts[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    return counts.ravel()
+
+
+def buckets(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def prefixes(docs: DataFrame, size: int, percent: int, text: str) -> DataFrame:
+    """(class, n, shingles): the first shingles of each set, seldom ones first, among which a set of at least ``percent`` hundredths
+    in common has one of its own."""
+    counts = docs.sparkSession.sparkContext.broadcast(shingle_counts(docs, size, text))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in small_batches(batch, "text"):
+                hashes, first = shingle_sets(some.column("text"), size)
+                n = np.diff(first)
+                owner = np.repeat(np.arange(len(n)), n)
+                ordered = hashes[np.lexsort((hashes, counts.value[buckets(hashes)], owner))]
+                length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+                early = np.arange(len(ordered)) - first[:-1][owner] < length[owner]
+                ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.minimum(length, n))))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ordered[early].view(np.int64)))
+                made = pa.RecordBatch.from_arrays([pa.array(sums(hashes, first, 1)), pa.array(n), lists], ["class", "n", "shingles"])
+                yield made.filter(pa.array(n > 0))
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(work, "class long, n long, shingles array<long>").dropDuplicates(["class"])
+
+
+def meeting(docs: DataFrame, roots: DataFrame, size: int, percent: int, text: str) -> DataFrame:
+    """Pairs of classes (a, b), a < b, of different components that may be links: all there are, by the prefix filter."""
+    held = prefixes(docs, size, percent, text).join(roots, "class")
+    rows = held.select("class", "root", F.col("n").cast("int").alias("n"), F.posexplode("shingles").alias("place", "shingle"))
+    ordered = rows.select("shingle", "root", "class", "n", "place").repartition("shingle").sortWithinPartitions("shingle", "root")
+
+    def pairs_of(shingle: np.ndarray, root: np.ndarray, names: np.ndarray, n: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(shingle):
+            return
+        same = np.diff(shingle) == 0
+        ends = np.append(np.flatnonzero(~same) + 1, len(shingle))
+        runs = np.append(np.flatnonzero(~same | (np.diff(root) != 0)) + 1, len(shingle))
+        at = np.arange(len(shingle))
+        start = runs[np.searchsorted(runs, at, "right")]  # the next component of the same shingle
+        many = ends[np.searchsorted(ends, at, "right")] - start
+        upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(many)))
+        for low in range(0, int(upto[-1]), PAIRS):
+            k = np.arange(low, min(low + PAIRS, int(upto[-1])))
+            i = np.searchsorted(upto, k, "right") - 1
+            j = start[i] + k - upto[i]
+            left = np.minimum(n[i] - place[i], n[j] - place[j])
+            good = (100 + percent) * left >= percent * (n[i] + n[j])
+            a, b = names[i[good]], names[j[good]]
+            found = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[list[np.ndarray]] = []  # rows of the last shingle, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k).to_numpy().astype(np.int64, copy=False) for k in range(5)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            if waiting and columns[0][0] == columns[0][-1] == waiting[0][0][0]:
+                waiting.append(columns)
+                continue
+            yield from pairs_of(*(np.concatenate([w[k] for w in waiting] + [columns[k][:cut]]) for k in range(5)))
+            waiting = [[c[cut:] for c in columns]]
+        if waiting:
+            yield from pairs_of(*(np.concatenate([w[k] for w in waiting]) for k in range(5)))
+
+    return ordered.mapInArrow(work, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = SHINGLE,
@@ -245,15 +350,19 @@ def near_duplicates(
     least = max(0.0, percent / 100 - MARGIN)
     nodes = classes.withColumn("root", F.col("class"))
     links, tested, mapping = None, None, None
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        active = settle(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "active")
+        ids = settle(classes.join(active, "class").select("own"), "ids")
+        return settle(confirmed(pairs, full_sets(docs, ids, active, size, doc_id, text), percent), "found")
+
     for order in count():  # ends: every further round joins components
         pairs = candidates(forest(nodes, order), least)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = settle(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        active = settle(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "active")
-        ids = settle(classes.join(active, "class").select("own"), "ids")
-        found = settle(confirmed(pairs, full_sets(docs, ids, active, size, doc_id, text), percent), "found")
+        found = confirm(pairs)
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
@@ -262,6 +371,15 @@ def near_duplicates(
         seen = tested.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         joined = classes.join(seen, "class").join(mapping.withColumnRenamed("node", "class"), "class", "left")
         nodes = settle(joined.withColumn("root", F.coalesce("root", "class")), "nodes")
+    roots = classes.select("class")
+    if mapping is None:
+        roots = roots.withColumn("root", F.col("class"))
+    else:
+        roots = roots.join(mapping.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    found = confirm(settle(meeting(docs, roots, size, percent, text).join(tested, ["a", "b"], "left_anti"), "pairs"))
+    if not found.isEmpty():
+        links = found if links is None else links.unionByName(found)
+        mapping = settle(components(links), "components")
     if mapping is None:
         owners = classes.select("class", "check", "own")
     else:

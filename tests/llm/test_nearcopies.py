@@ -57,6 +57,14 @@ def test_a_large_group_of_near_copies(spark):
     assert sorted(tuple(r) for r in found.select(columns).collect()) == plainly(docs, 5)
 
 
+def test_links_inside_a_template_family(spark):
+    shared = [f"t{k}" for k in range(130)]
+    # by fours 0.77 alike, below the threshold; each of 40 pairs has four words more in common, 0.81
+    docs = [(i, " ".join(shared + [f"p{i // 2}x{k}" for k in range(4 if i < 80 else 0)] + [f"u{i}x{k}" for k in range(15 if i < 80 else 19)])) for i in range(700)]
+    found = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=4).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(i, i // 2 * 2 if i < 80 else i) for i in range(700)]
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     texts = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (7, long), (8, long + " end"), (9, "É x y z"), (10, "é x y z"), (11, "same text here now"), (None, "same text here now"), (11, "same text here now")]
