@@ -65,6 +65,15 @@ def test_links_inside_a_template_family(spark):
     assert sorted((r.doc_id, r.component_id) for r in found) == [(i, i // 2 * 2 if i < 80 else i) for i in range(700)]
 
 
+def test_a_link_that_signatures_deny(spark):
+    pairs = []
+    for seed in (101, 162, 2102, 2616):  # 0.802 alike, by their signatures under 0.69
+        words = [f"p{seed}x{i}" for i in range(103)]
+        pairs += [" ".join(words), " ".join(words[:92] + [f"q{seed}x{i}" for i in range(92, 103)])]
+    docs = spark.createDataFrame(list(enumerate(pairs)), "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in near_duplicates(docs, size=4).collect()) == [(i, i // 2 * 2) for i in range(8)]
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     texts = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (7, long), (8, long + " end"), (9, "É x y z"), (10, "é x y z"), (11, "same text here now"), (None, "same text here now"), (11, "same text here now")]
