@@ -8,6 +8,9 @@ Flows keep blocks on lines of their own, a blank line around paragraphs, heading
 items with their later lines indented, line breaks, and preformatted text as it stands. A table's cells are
 padded to the width of their column, up to WIDEST characters; longer text stays whole and is not padded to.
 
+A select shows its chosen option, a list box all of them; a text area its text as it stands. Of drawings the texts show, each on
+a line, but no titles, descriptions or definitions (also where a drawing uses them); of formulas the tokens, apart, without annotations.
+
 No recursion, so nesting may be as deep as it likes; a page is held whole, one at a time. Null and empty pages give "". Text
 outside of any tag is visible. Equal rows get equal results.
 """
@@ -15,6 +18,7 @@ outside of any tag is visible. Equal rows get equal results.
 from __future__ import annotations
 
 import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -27,7 +31,9 @@ WIDEST = 40
 
 # Fixed values of HTML: elements by how they are laid out
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("head title script style template noscript textarea select datalist iframe object video audio canvas svg math".split())
+UNSEEN = set("head title script style template noscript datalist iframe object video audio canvas".split())
+UNDRAWN = set("desc defs metadata symbol clippath mask pattern marker annotation annotation-xml mphantom".split())  # in svg and math
+TOKENS = set("mi mn mo ms mtext".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure".split())
 BLOCKS = SPACED | set("html body div section article header footer nav main aside address form fieldset dt dd li hr tr figcaption details summary center caption".split())
 IN_HEAD = set("title meta link base script style template noscript".split())
@@ -41,11 +47,13 @@ ENDS = {
     "tr": ({"tr"}, {"table"}),
     "tbody": ({"tbody", "thead", "tfoot", "caption", "tr"}, {"table"}),
     "option": ({"option"}, {"select"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
 }
 ENDS |= {"thead": ENDS["tbody"], "tfoot": ENDS["tbody"]}
 WALLS = {"td", "th", "table", "li"}  # an end tag inside does not reach what is around them
 
 HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+ESCAPES = hasattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS")  # parsers that take tags in a text area as text
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -108,11 +116,11 @@ class Flow:
 
 
 class Element:
-    __slots__ = ("tag", "hidden", "flow", "pre", "items", "rows", "within", "bullets")
+    __slots__ = ("tag", "hidden", "flow", "pre", "items", "rows", "within", "bullets", "given")
 
     def __init__(self, tag: str, hidden: bool, flow: Flow, pre: bool):
         self.tag, self.hidden, self.flow, self.pre = tag, hidden, flow, pre
-        self.items = self.rows = self.within = None
+        self.items = self.rows = self.within = self.given = None
         self.bullets = 0
 
 
@@ -126,10 +134,17 @@ class Page(HTMLParser):
         top = self.stack[-1]
         if top.hidden:
             return
+        if self.open.get("svg") and self.nearest("svg", "text", "foreignobject").tag == "svg":
+            return
         if self.open.get("head") and not data.isspace():
             self.end("head")
             top = self.stack[-1]
-        if top.pre:
+        if top.tag == "textarea":
+            if not top.within:  # the first line end does not show
+                top.within, data = True, data.removeprefix("\r").removeprefix("\n")
+            data = data.replace("\r\n", "\n")
+            top.flow.raw(data if ESCAPES else unescape(data))
+        elif top.pre:
             top.flow.raw(data)
         elif data:
             top.flow.add(data)
@@ -137,6 +152,10 @@ class Page(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.open.get("head") and tag not in IN_HEAD and self.stack[-1].tag not in UNSEEN - {"head"}:
             self.end("head")
+        if tag in ("select", "input", "textarea") and self.open.get("select"):
+            self.end("select", WALLS)
+            if tag == "select":
+                return
         if tag in BLOCKS and self.open.get("p"):
             self.end("p", WALLS)
         if tag in ENDS:
@@ -155,10 +174,14 @@ class Page(HTMLParser):
             return
         given = {k: v or "" for k, v in attrs}
         self.push(tag, "hidden" in given or bool(HIDING.search(given.get("style", ""))), given)
+        if tag == "textarea" and not ESCAPES:
+            self.set_cdata_mode(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        # a slash ends nothing but void elements
+        # a slash ends nothing but void elements, and those of drawings and formulas
         self.handle_starttag(tag, attrs)
+        if tag not in VOID and (self.open.get("svg") or self.open.get("math")) and self.nearest("svg", "math", "foreignobject").tag != "foreignobject":
+            self.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -175,8 +198,21 @@ class Page(HTMLParser):
 
     def push(self, tag: str, hidden: bool, given: dict | None = None) -> None:
         top = self.stack[-1]
-        x = Element(tag, top.hidden or hidden or tag in UNSEEN, top.flow, top.pre or tag == "pre")
+        foreign = self.open.get("svg") or self.open.get("math")
+        x = Element(tag, top.hidden or hidden or tag in UNSEEN or bool(foreign and tag in UNDRAWN), top.flow, top.pre or tag == "pre")
+        x.given = given
         if not x.hidden:
+            if foreign:
+                if tag == "text" or (tag == "tspan" and given and given.keys() & {"x", "y", "dy"}):
+                    top.flow.end_line()
+                elif tag in TOKENS:
+                    top.flow.space = True
+            if tag == "textarea":
+                top.flow.end_line()
+            if tag == "select":
+                x.items, x.flow = [], Flow()  # text outside of options does not show
+            if tag == "option" and self.open.get("select"):
+                x.flow = Flow()
             if tag in BLOCKS:
                 top.flow.block(tag in SPACED and not (tag in ("ul", "ol") and self.open.get("li")))
             if tag in ("li", "td", "th"):
@@ -217,7 +253,22 @@ class Page(HTMLParser):
         flow = self.stack[-1].flow
         if x.hidden:
             return x
-        if x.tag == "li":
+        if x.tag == "option" and self.open.get("select"):
+            text = (x.given or {}).get("label") or " ".join(x.flow.done())
+            of, group = self.nearest("select"), self.nearest("optgroup", "select")
+            off = "disabled" in (x.given or {}) or (group.tag == "optgroup" and "disabled" in (group.given or {}))
+            of.items.append((text, "selected" in (x.given or {}), off))
+        elif x.tag == "select":
+            given = x.given or {}
+            if "multiple" in given or (given.get("size", "").isdecimal() and int(given["size"]) > 1):
+                flow.take([text for text, _, _ in x.items if text])
+            else:
+                chosen = [text for text, on, _ in x.items if on][-1:] or [text for text, _, off in x.items if not off][:1]
+                if chosen and chosen[0].strip():
+                    flow.add(chosen[0])
+        elif x.tag == "textarea" or (x.tag == "text" and self.open.get("svg")):
+            flow.end_line()
+        elif x.tag == "li":
             of, mark = self.nearest("ul", "ol"), "- "
             if of is not None and of.tag == "ol":
                 mark, of.bullets = f"{of.bullets}. ", of.bullets + 1
@@ -243,6 +294,8 @@ class Page(HTMLParser):
 
     def text(self, html: str) -> str:
         self.feed(html)
+        if self.cdata_elem == "textarea":
+            self.feed("</textarea>")
         self.close()
         while len(self.stack) > 1:
             self.pop()

@@ -29,6 +29,13 @@ CASES = {
     "<p>one\n  two\t three </p>": "one two three",
     "<h1>h</h1>t<blockquote>q</blockquote>": "h\n\nt\n\nq",
     "<dl><dt>a<dd>b<dt>c</dl>": "a\nb\nc",
+    "<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>tex</annotation></math> holds": "so x = 1 2 holds",
+    "<svg><title>t</title><defs><text>d</text></defs><rect/><desc/><text>one</text><text>two<tspan>s</tspan></text><style>s{}</style></svg>z": "one\ntwos\nz",
+    "<textarea>\na  <b>\n b</textarea>c": "a  <b>\n b\nc",
+    "<textarea>a &amp; b": "a & b",
+    "in <select><option>a<option selected>b<option>c</select> now": "in b now",
+    "<select><option disabled>a<optgroup label=g><option>b</select>": "b",
+    "<select multiple><option>a<option>b</select>c": "a\nb\nc",
     "a<p>": "a",
     "<": "<",
     "": "",
