@@ -288,7 +288,7 @@ def nearest_neighbours(
 
     dealt = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(shards)], "leaf long, shards long"))
     candidates = placed.join(dealt, "leaf").withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.col("shards"))).drop("shards")
-    asking = usable(vectors.filter(is_query), vec_id, embedding)[0].filter(F.size("vector") == width)
+    asking = chosen.select(F.col("id").alias(vec_id), "vector").filter(is_query).select(F.col(vec_id).alias("id"), "vector")
     asking = asking.mapInArrow(visit, f"id {kind}, vector array<double>, leaf long, shard long")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -48,6 +48,13 @@ def test_repeated_vectors_fill_many_shards(spark):
     assert [found[q] for q in range(0, 300, 50)] == [true[q] for q in range(0, 300, 50)]  # ties to the smaller id
 
 
+def test_queries_mostly_of_another_length(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 31)] + [(i, [float(i), 1.0, 2.0]) for i in range(100, 105)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest_neighbours(frame, F.col("vec_id").isin(5, 100, 101, 102), k=2).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found) == [(5, 1, 4), (5, 2, 6)]
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [0.0, 1.0]), (8, [1.0, 0.0]), (None, [1.0, 1.0]), (9, [1.0])]
