@@ -14,6 +14,7 @@ from shoptide.llm.linededup import dropped_lines
 from shoptide.llm.nearcopies import near_duplicates
 from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
+from shoptide.llm.quality import MAX_DOCS, MEASURES, quality_rules
 from shoptide.llm.tokens import count_tokens
 from shoptide.llm.toxicity import grade_toxicity, train
 from shoptide.llm.warc import round_trip
@@ -114,6 +115,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return quality_rules(docs).select("doc_id", *MEASURES, "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -125,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
@@ -139,4 +146,40 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id > first THEN first END AS refers_to
         FROM shared
     """,
+    "op11_quality_rules": rf"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS k, doc_id, source, coalesce(text, '') AS text FROM documents
+        ), lines AS (
+            SELECT k, doc_id, source, line,
+                regexp_replace(regexp_replace(lower(trim(line, e' \t\n\x0b\f\r')), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]', '0', 'g') AS plain
+            FROM (SELECT *, unnest(string_split(text, e'\n')) AS line FROM docs)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ), frequent AS (
+            SELECT source, plain FROM lines GROUP BY ALL HAVING count(DISTINCT doc_id) > {MAX_DOCS}
+        ), by_line AS (
+            SELECT k, count(*) - count(DISTINCT line) AS n_dup_lines,
+                sum(CASE WHEN frequent.plain IS NOT NULL THEN len(string_split(lines.plain, ' ')) ELSE 0 END) AS removed
+            FROM lines LEFT JOIN frequent ON lines.source IS NOT DISTINCT FROM frequent.source AND lines.plain = frequent.plain
+            GROUP BY k
+        ), words AS (
+            SELECT k, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs
+        ), windows AS (
+            SELECT k, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS three
+            FROM (SELECT k, words, unnest(range(1, len(words) - 1)) AS i FROM words WHERE len(words) > 2)
+        ), repeated AS (
+            SELECT k, count(DISTINCT place) AS n_repeat_words FROM (
+                SELECT k, unnest([i, i + 1, i + 2]) AS place FROM (SELECT *, count(*) OVER (PARTITION BY k, three) AS n FROM windows) WHERE n > 1
+            ) GROUP BY k
+        ), measured AS (
+            SELECT docs.doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+                len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed
+            FROM docs JOIN words USING (k) LEFT JOIN by_line USING (k) LEFT JOIN repeated USING (k)
+        )
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+            CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_words - removed < 50 OR removed * 100 > n_words * 50) AS kept
+        FROM measured
+    """,
 }
