@@ -1,12 +1,11 @@
 """A query's result against its SQL: types, row count and values, in no particular order."""
 
 import math
+from pathlib import Path
 
 import duckdb
 import pandas as pd
 
-TABLES = ["customer", "orders", "lineitem", "part", "events"]
-
 DUCK_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -18,8 +17,8 @@ DUCK_TYPES = {
 
 def duck(folder):
     connection = duckdb.connect()
-    for name in TABLES:
-        connection.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
+    for table in sorted(Path(folder).glob("*.parquet")):
+        connection.execute(f"create view {table.stem} as select * from '{table}'")
     return connection
 
 
