@@ -23,7 +23,7 @@ def duck(folder):
 
 
 def plain(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     return value.item() if hasattr(value, "item") else value
 
