@@ -14,7 +14,8 @@ from shoptide.llm.linededup import dropped_lines
 from shoptide.llm.nearcopies import near_duplicates
 from shoptide.llm.neighbours import nearest_neighbours
 from shoptide.llm.packing import pack
-from shoptide.llm.quality import MAX_DOCS, MEASURES, quality_rules
+from shoptide.llm.periodic import find_runs
+from shoptide.llm.quality import MAX_DOCS, MEASURES, quality_rules, words_of
 from shoptide.llm.tokens import count_tokens
 from shoptide.llm.toxicity import grade_toxicity, train
 from shoptide.llm.warc import round_trip
@@ -120,6 +121,33 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs).select("doc_id", *MEASURES, "base_failed", "kept")
 
 
+def with_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the texts of one document in ten made to repeat a stretch of their words up to their end, as the contract says."""
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, words_of(F.coalesce("text", F.lit("")))))
+    rows = rows.withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("if(n > 0, int(g % n), null)"))
+    rows = rows.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    again = F.expr("slice(concat(slice(w, 1, a), flatten(array_repeat(slice(w, a + 1, p), int((n - a + p - 1) div p)))), 1, n)")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.concat_ws(" ", again)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_copies(table(spark, sf_dir, "documents"))
+    # the words left take the text's column
+    found = find_runs(docs.withColumnRenamed("text", "collapsed"), "collapsed")
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -132,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_quality_rules": op11_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
