@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptide.llm.alignment import align_tokenizers
 from shoptide.llm.decontaminate import items_digest, scan_benchmark
 from shoptide.llm.html_text import extract_text
 from shoptide.llm.licenses import scan_licenses
@@ -148,6 +149,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -161,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op11_quality_rules": op11_quality_rules,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLES: dict[str, str] = {
