@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from shoptide.llm.words import small_batches
 TABLE = 1 << 19
 HEAVY = 10_000
 LONGEST = 32
-CACHE = 300_000
+CACHE = 400_000
 
 SPACE = "▁"  # sentencepiece's sign for a space
 CUT = re.compile(r"(?<=\S)(?= )")
@@ -88,7 +89,7 @@ class Aligner:
         return CUT.split(" " + text) if self.cuts else [" " + text]
 
     def align(self, units: list[str]) -> list[tuple | None]:
-        """Of each unit (tokens of A, tokens of B, groups as text, the pair of each link), or None where tokens do not give back its bytes."""
+        """Of each unit (tokens of A, tokens of B, groups as text, the pairs of the links as 64-bit numbers), or None where tokens do not give back its bytes."""
         of_a = [x.ids for x in self.a.encode_batch_fast(units, add_special_tokens=False)]
         of_b = self.b.encode([x[1:] for x in units], num_threads=1)
         lone = [i for i, x in enumerate(units) if len(x) == 1]
@@ -102,36 +103,36 @@ class Aligner:
         as_a, as_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(as_a) != data or b"".join(as_b) != data:
             return None
-        if len(a) == 1 and len(b) == 1:
-            return 1, 1, f"{a[0]}|{b[0]}", (a[0] << 32 | b[0],)
-        a_ends, b_ends = np.cumsum([len(x) for x in as_a]), np.cumsum([len(x) for x in as_b])
-        # each token's partners are those from the one that its first byte is in to the one that its last byte is in
-        low = np.searchsorted(b_ends, np.concatenate(([0], a_ends[:-1])), side="right")
-        high = np.searchsorted(b_ends, a_ends, side="left")
-        many = high - low + 1
-        partner = np.arange(many.sum()) + np.repeat(low - (np.cumsum(many) - many), many)
-        links = np.repeat(np.array(a, np.int64), many) << 32 | np.array(b, np.int64)[partner]
-        groups, i, j = [], 0, 0
-        shared = np.intersect1d(a_ends, b_ends)
-        for up, to in zip(np.searchsorted(a_ends, shared).tolist(), np.searchsorted(b_ends, shared).tolist()):
-            groups.append(f"{','.join(map(str, a[i : up + 1]))}|{','.join(map(str, b[j : to + 1]))}")
-            i, j = up + 1, to + 1
-        return len(a), len(b), ";".join(groups), tuple(links.tolist())
+        links, groups, i, j, group_a, group_b = [], [], 0, 0, 0, 0
+        a_end, b_end = len(as_a[0]), len(as_b[0])
+        while True:
+            links.append(a[i] << 32 | b[j])
+            step_a, step_b = a_end <= b_end, b_end <= a_end
+            i, j = i + step_a, j + step_b
+            if step_a and step_b:
+                one = i - group_a == 1 == j - group_b
+                groups.append(f"{a[group_a]}|{b[group_b]}" if one else f"{','.join(map(str, a[group_a:i]))}|{','.join(map(str, b[group_b:j]))}")
+                group_a, group_b = i, j
+                if i == len(a):
+                    return len(a), len(b), ";".join(groups), array("q", links).tobytes()
+            if step_a:
+                a_end += len(as_a[i])
+            if step_b:
+                b_end += len(as_b[j])
 
     def text(self, text: str) -> list[tuple] | None:
-        """The aligned units of a text."""
+        """The aligned units of a text, or None where its tokens do not give it back."""
         units = self.units(text)
         if len(self.fresh) > CACHE:
             self.stale, self.fresh = self.fresh, {}
-        known, wanted = self.fresh, set(units) - self.fresh.keys()
-        again = wanted & self.stale.keys()
-        known.update((x, self.stale[x]) for x in again)
-        wanted = list(wanted - again)
-        made = dict(zip(wanted, self.align(wanted))) if wanted else {}
-        long = {x: made.pop(x) for x in wanted if len(x) > LONGEST}
-        known.update(made)
+        known, stale, long = self.fresh, self.stale, {}
+        wanted = [x for x in set(units) if x not in known]
+        known.update((x, stale[x]) for x in wanted if x in stale)
+        wanted = [x for x in wanted if x not in known]
+        for x, made in zip(wanted, self.align(wanted)):
+            (known if len(x) <= LONGEST else long)[x] = made
         found = [known[x] if x in known else long[x] for x in units]
-        if any(x is None for x in found):
+        if None in found:
             # what one unit lacks another could only make up for in the text as a whole
             whole = self.align([" " + text])[0]
             return None if whole is None else [whole]
@@ -164,8 +165,8 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 measures, digests, pairs, links, ends = [], [], [], [], [0]
                 for value in some.column("text"):
                     units = tool.text(value.as_py()) or []
-                    flat = [p for u in units for p in u[3]]
-                    different, many = np.unique(np.array(flat, np.int64), return_counts=True)
+                    flat = np.frombuffer(b"".join([u[3] for u in units]), np.int64)
+                    different, many = np.unique(flat, return_counts=True)
                     groups = ";".join([u[2] for u in units])
                     measures.append((sum(u[0] for u in units), sum(u[1] for u in units), groups.count("|"), len(flat)))
                     digests.append(hashlib.sha256(groups.encode()).hexdigest() if units else "")
