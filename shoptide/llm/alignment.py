@@ -26,6 +26,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from shoptide.llm.words import small_batches
 TABLE = 1 << 19
 HEAVY = 10_000
 LONGEST = 32
+TOGETHER = 512  # units that are encoded as one text
 CACHE = 400_000
 
 SPACE = "▁"  # sentencepiece's sign for a space
@@ -90,53 +92,73 @@ class Aligner:
 
     def align(self, units: list[str]) -> list[tuple | None]:
         """Of each unit (tokens of A, tokens of B, groups as text, the pairs of the links as 64-bit numbers), or None where tokens do not give back its bytes."""
-        of_a = [x.ids for x in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        of_b = self.b.encode([x[1:] for x in units], num_threads=1)
-        lone = [i for i, x in enumerate(units) if len(x) == 1]
-        if lone:  # the library makes nothing of an empty text; in a longer one a last space is a token
+        # those that end in white space would not stay apart from the next one; of a lone space the model makes nothing
+        able = [i for i, x in enumerate(units) if not x[-1].isspace()]
+        found = dict(zip(able, self._together([units[i] for i in able])))
+        return [found[i] if i in found else self._together([x])[0] for i, x in enumerate(units)]
+
+    def _together(self, units: list[str]) -> list[tuple | None]:
+        """The units encoded as one text, or one by one if that does not give back their bytes."""
+        if not units:
+            return []
+        data = [x.encode() for x in units]
+        whole = "".join(units)
+        a = self.a.encode(whole, add_special_tokens=False).ids
+        if len(whole) == 1:
             one, none = self.b.encode(["a ", "a"], num_threads=1)
-            for i in lone:
-                of_b[i] = one[len(none) :]
-        return [self._aligned(x.encode(), a, b) for x, a, b in zip(units, of_a, of_b)]
-
-    def _aligned(self, data: bytes, a: list[int], b: list[int]) -> tuple | None:
-        as_a, as_b = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(as_a) != data or b"".join(as_b) != data:
-            return None
-        links, groups, i, j, group_a, group_b = [], [], 0, 0, 0, 0
-        a_end, b_end = len(as_a[0]), len(as_b[0])
+            b = one[len(none) :]
+        else:
+            b = self.b.encode(whole[1:], num_threads=1)
+        as_a, as_b, joined = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b], b"".join(data)
+        if b"".join(as_a) == joined == b"".join(as_b):
+            return self._walk(a, b, list(map(len, as_a)), list(map(len, as_b)), list(accumulate(map(len, data))))
+        return [None] if len(units) == 1 else [self._together([x])[0] for x in units]
+
+    @staticmethod
+    def _walk(a: list[int], b: list[int], a_size: list[int], b_size: list[int], ends: list[int]) -> list[tuple]:
+        """One walk over both: each step's tokens overlap, and the one that ends first gives way to its next. Both end at each of ``ends``."""
+        out, links, groups = [], array("q"), []
+        i = j = group_a = group_b = first_a = first_b = unit = 0
+        a_end, b_end = a_size[0], b_size[0]
         while True:
             links.append(a[i] << 32 | b[j])
-            step_a, step_b = a_end <= b_end, b_end <= a_end
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
+            if a_end < b_end:
+                i += 1
+                a_end += a_size[i]
+            elif b_end < a_end:
+                j += 1
+                b_end += b_size[j]
+            else:
+                i, j = i + 1, j + 1
                 one = i - group_a == 1 == j - group_b
                 groups.append(f"{a[group_a]}|{b[group_b]}" if one else f"{','.join(map(str, a[group_a:i]))}|{','.join(map(str, b[group_b:j]))}")
                 group_a, group_b = i, j
-                if i == len(a):
-                    return len(a), len(b), ";".join(groups), array("q", links).tobytes()
-            if step_a:
-                a_end += len(as_a[i])
-            if step_b:
-                b_end += len(as_b[j])
-
-    def text(self, text: str) -> list[tuple] | None:
-        """The aligned units of a text, or None where its tokens do not give it back."""
-        units = self.units(text)
+                if a_end == ends[unit]:
+                    out.append((i - first_a, j - first_b, ";".join(groups), links.tobytes()))
+                    links, groups, first_a, first_b, unit = array("q"), [], i, j, unit + 1
+                    if unit == len(ends):
+                        return out
+                a_end, b_end = a_end + a_size[i], b_end + b_size[j]
+
+    def texts(self, texts: list[str]) -> list[list[tuple]]:
+        """The aligned units of each text; none where its tokens do not give it back."""
         if len(self.fresh) > CACHE:
             self.stale, self.fresh = self.fresh, {}
         known, stale, long = self.fresh, self.stale, {}
-        wanted = [x for x in set(units) if x not in known]
+        cut = [self.units(x) for x in texts]
+        wanted = [x for x in {x for units in cut for x in units} if x not in known]
         known.update((x, stale[x]) for x in wanted if x in stale)
         wanted = [x for x in wanted if x not in known]
-        for x, made in zip(wanted, self.align(wanted)):
-            (known if len(x) <= LONGEST else long)[x] = made
-        found = [known[x] if x in known else long[x] for x in units]
-        if None in found:
+        for begin in range(0, len(wanted), TOGETHER):
+            some = wanted[begin : begin + TOGETHER]
+            for x, made in zip(some, self.align(some)):
+                (known if len(x) <= LONGEST else long)[x] = made
+        out = []
+        for text, units in zip(texts, cut):
+            found = [known[x] if x in known else long[x] for x in units]
             # what one unit lacks another could only make up for in the text as a whole
-            whole = self.align([" " + text])[0]
-            return None if whole is None else [whole]
-        return found
+            out.append([x for x in self._together([" " + text]) if x] if None in found else found)
+        return out
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -163,8 +185,7 @@ def align_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
         for batch in batches:
             for some in small_batches(batch, "text"):
                 measures, digests, pairs, links, ends = [], [], [], [], [0]
-                for value in some.column("text"):
-                    units = tool.text(value.as_py()) or []
+                for units in tool.texts(some.column("text").to_pylist()):
                     flat = np.frombuffer(b"".join([u[3] for u in units]), np.int64)
                     different, many = np.unique(flat, return_counts=True)
                     groups = ";".join([u[2] for u in units])
