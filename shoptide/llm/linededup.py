@@ -19,7 +19,7 @@ The joins are shuffles at every size: what they join grows with the corpus, so a
 nothing of the cost on a large one.
 
 Nulls and empty texts have no lines. A null id comes before all. Rows that repeat an id count as the same place, so a line never
-drops itself in its twin. A document that loses all its lines is dropped with them.
+drops itself in its twin; each loses only lines of its own text. A document that loses all its lines is dropped with them.
 """
 
 from __future__ import annotations
@@ -101,8 +101,8 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def all_lines(docs: DataFrame) -> DataFrame:
-    """(doc, line, h1, h2, keys) of the lines with words of (doc, text)."""
-    schema = T.StructType([docs.schema["doc"]]).add("line", "long").add("h1", "long").add("h2", "long").add("keys", T.ArrayType(T.LongType()))
+    """(doc, mark, line, h1, h2, keys) of the lines with words of (doc, mark, text)."""
+    schema = T.StructType([docs.schema["doc"], docs.schema["mark"]]).add("line", "long").add("h1", "long").add("h2", "long").add("keys", T.ArrayType(T.LongType()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,10 +110,11 @@ def all_lines(docs: DataFrame) -> DataFrame:
                 lines = Lines(words_of(some.column("text"), UNSPACED))
                 line, key = lines.coarse()
                 keys = pa.ListArray.from_arrays(pa.array(np.searchsorted(line, np.arange(len(lines.n) + 1)), pa.int32()), signed(key))
-                columns = [some.column("doc").take(pa.array(lines.text)), pa.array(lines.number), signed(lines.hashes(0)), signed(lines.hashes(1)), keys]
+                of = pa.array(lines.text)
+                columns = [some.column("doc").take(of), some.column("mark").take(of), pa.array(lines.number), signed(lines.hashes(0)), signed(lines.hashes(1)), keys]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select("doc", "text").mapInArrow(work, schema)
+    return docs.select("doc", "mark", "text").mapInArrow(work, schema)
 
 
 def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -201,24 +202,26 @@ def near_earlier(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, line, kept_doc_id, kept_line, edits) of the lines to drop, lines counted from 0, and the earlier line each
-    repeats: its earliest neighbour within one edit, or its own first occurrence."""
-    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    """(doc_id, line, kept_doc_id, kept_line, edits, text_hash) of the lines to drop, lines counted from 0, and the earlier line each
+    repeats: its earliest neighbour within one edit, or its own first occurrence. The hash of the whole text tells rows that share an id apart."""
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     lines = settle(all_lines(rows), "lines")
     near = near_earlier(rows, lines)
     firsts = lines.groupBy(*PAIR).agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n"))
     decided = firsts.join(near, PAIR, "left").filter("n > 1 or earlier is not null")
     decided = settle(decided.select(*PAIR, F.least(F.coalesce("earlier", "first"), "first").alias("target"), F.when(F.col("earlier") < F.col("first"), 1).otherwise(0).alias("edits")), "decided")
-    marked = lines.select("doc", "line", *PAIR).join(decided.hint("merge"), PAIR).filter(F.struct("doc", "line") > F.col("target"))
-    return marked.select(F.col("doc").alias(doc_id), "line", F.col("target.doc").alias("kept_doc_id"), F.col("target.line").alias("kept_line"), "edits")
+    marked = lines.select("doc", "mark", "line", *PAIR).join(decided.hint("merge"), PAIR).filter(F.struct("doc", "line") > F.col("target"))
+    return marked.select(F.col("doc").alias(doc_id), "line", F.col("target.doc").alias("kept_doc_id"), F.col("target.line").alias("kept_line"), "edits", F.col("mark").alias("text_hash"))
 
 
 def drop_lines(docs: DataFrame, dropped: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines in ``dropped``, nor the documents that have lost all their words with them."""
-    by_doc = dropped.groupBy(F.col(doc_id).alias("_of")).agg(F.collect_set("line").alias("_lines"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-    joined = rows.join(by_doc, rows["_id"].eqNullSafe(by_doc["_of"]), "left").select("row", "text", "_lines")
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_lines", i.cast("long")))
+    by_doc = dropped.groupBy(F.col(doc_id).alias("_of"), F.col("text_hash").alias("_hash")).agg(F.collect_set(F.col("line").cast("int")).alias("_lines"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_mark"))
+    joined = rows.join(by_doc, rows["_id"].eqNullSafe(by_doc["_of"]) & (rows["_mark"] == by_doc["_hash"]), "left").select("row", "text", "_lines")
+    # set difference and lookups by place: the work grows with the lines, not with lines times dropped ones
+    joined = joined.withColumn("_all", F.split("text", "\n"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), "_lines"), lambda i: F.get("_all", i))
     cut = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     done = joined.withColumn("cut", cut).filter(F.col("_lines").isNull() | F.col("cut").rlike(r"[^ \t\n\x0B\f\r]"))
     return done.select(*[F.col("cut").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

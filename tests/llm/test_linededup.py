@@ -81,3 +81,10 @@ def test_edges(spark):
 @pytest.mark.parametrize(("a", "b", "close"), [("a b c", "a b c", True), ("a b c", "a x c", True), ("a b c", "a c", True), ("a b", "b a", False), ("a", "", True), ("a b c d", "a b", False)])
 def test_one_edit(a, b, close):
     assert one_edit(a.split(), b.split()) == close == one_edit(b.split(), a.split())
+
+
+def test_rows_that_share_an_id_lose_only_their_own_lines(spark):
+    rows = [(1, "alpha"), (2, "alpha\nbeta"), (2, "gamma\ndelta"), (2, "gamma\ndelta"), (3, "delta"), (None, "beta\nomega")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, dedup_lines(docs).collect()), key=str)
+    assert kept == sorted([(1, "alpha"), (2, "gamma\ndelta"), (2, "gamma\ndelta"), (None, "beta\nomega")], key=str)
