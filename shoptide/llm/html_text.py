@@ -6,13 +6,15 @@ flow of its nearest list item, cell or the page; hidden elements (scripts, the h
 
 Flows keep blocks on lines of their own, a blank line around paragraphs, headings, lists and tables, ``- `` or numbers before
 items with their later lines indented, line breaks, and preformatted text as it stands. A table's cells are
-padded to the width of their column, up to WIDEST characters; longer text stays whole and is not padded to.
+padded to the width of their columns, with spans over columns and rows; lines longer than WIDEST are broken between words, inside a
+cell; a single longer word stays whole and is not padded to, which bounds the padding.
 
 A select shows its chosen option, a list box all of them; a text area its text as it stands. Of drawings the texts show, each on
 a line, but no titles, descriptions or definitions (also where a drawing uses them); of formulas the tokens, apart, without annotations.
 
 No recursion, so nesting may be as deep as it likes; a page is held whole, one at a time. Null and empty pages give "". Text
-outside of any tag is visible. Equal rows get equal results.
+outside of any tag is visible. Attributes that are no numbers count as missing; marked sections are comments. A page that the parser gives up
+on has the text between its tags. Equal rows get equal results.
 """
 
 from __future__ import annotations
@@ -52,7 +54,11 @@ ENDS = {
 ENDS |= {"thead": ENDS["tbody"], "tfoot": ENDS["tbody"]}
 WALLS = {"td", "th", "table", "li"}  # an end tag inside does not reach what is around them
 
-HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBLE = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
+NUMBER = re.compile(r"\s*(-?[0-9]{1,9})(?![0-9])")
+MOST_COLUMNS, MOST_ROWS = 1000, 65534  # fixed values of HTML: the largest spans
+TAG = re.compile(r"<[^>]*>")
 ESCAPES = hasattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS")  # parsers that take tags in a text area as text
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
@@ -116,10 +122,11 @@ class Flow:
 
 
 class Element:
-    __slots__ = ("tag", "hidden", "flow", "pre", "items", "rows", "within", "bullets", "given")
+    __slots__ = ("tag", "gone", "faint", "hidden", "flow", "pre", "items", "rows", "within", "bullets", "given")
 
-    def __init__(self, tag: str, hidden: bool, flow: Flow, pre: bool):
-        self.tag, self.hidden, self.flow, self.pre = tag, hidden, flow, pre
+    def __init__(self, tag: str, gone: bool, flow: Flow, pre: bool, faint: bool = False):
+        # what is gone takes all inside with it; what is only not visible may hold visible elements
+        self.tag, self.gone, self.faint, self.hidden, self.flow, self.pre = tag, gone, faint, gone or faint, flow, pre
         self.items = self.rows = self.within = self.given = None
         self.bullets = 0
 
@@ -173,7 +180,8 @@ class Page(HTMLParser):
                     flow.block(True)
             return
         given = {k: v or "" for k, v in attrs}
-        self.push(tag, "hidden" in given or bool(HIDING.search(given.get("style", ""))), given)
+        closed = tag == "dialog" and "open" not in given
+        self.push(tag, closed or "hidden" in given or bool(HIDING.search(given.get("style", ""))), given)
         if tag == "textarea" and not ESCAPES:
             self.set_cdata_mode(tag)
 
@@ -190,6 +198,9 @@ class Page(HTMLParser):
             table = tag in ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "ul", "ol", "li", "html", "body")
             self.end(tag, {"table"} if table and tag not in ("table", "html", "body") else (set() if table else WALLS))
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        return self.parse_bogus_comment(i, report)
+
     def inside(self, tag: str, stop: str) -> bool:
         for x in reversed(self.stack):
             if x.tag in (tag, stop):
@@ -199,7 +210,10 @@ class Page(HTMLParser):
     def push(self, tag: str, hidden: bool, given: dict | None = None) -> None:
         top = self.stack[-1]
         foreign = self.open.get("svg") or self.open.get("math")
-        x = Element(tag, top.hidden or hidden or tag in UNSEEN or bool(foreign and tag in UNDRAWN), top.flow, top.pre or tag == "pre")
+        stated = VISIBLE.findall((given or {}).get("style", ""))
+        faint = stated[-1].lower() != "visible" if stated else top.faint
+        gone = top.gone or hidden or tag in UNSEEN or bool(foreign and tag in UNDRAWN)
+        x = Element(tag, gone, top.flow, top.pre or tag == "pre", faint)
         x.given = given
         if not x.hidden:
             if foreign:
@@ -222,7 +236,7 @@ class Page(HTMLParser):
             if tag == "tr":
                 x.items = []
             if tag == "ol":
-                x.bullets = int(given["start"]) if given and given.get("start", "").lstrip("-").isdecimal() else 1
+                x.bullets = number(given, "start", 1)
         self.stack.append(x)
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -260,7 +274,7 @@ class Page(HTMLParser):
             of.items.append((text, "selected" in (x.given or {}), off))
         elif x.tag == "select":
             given = x.given or {}
-            if "multiple" in given or (given.get("size", "").isdecimal() and int(given["size"]) > 1):
+            if "multiple" in given or number(given, "size", 1) > 1:
                 flow.take([text for text, _, _ in x.items if text])
             else:
                 chosen = [text for text, on, _ in x.items if on][-1:] or [text for text, _, off in x.items if not off][:1]
@@ -279,7 +293,9 @@ class Page(HTMLParser):
             if row is None or row.items is None:
                 flow.take(lines)
             else:
-                row.items.append(lines)
+                wide, high = number(x.given, "colspan", 1), number(x.given, "rowspan", 1)
+                # no rows are the rest of the section; here, of the table
+                row.items.append((lines, min(max(1, wide), MOST_COLUMNS), min(high, MOST_ROWS) if high > 0 else MOST_ROWS))
         elif x.tag == "tr" and x.items:
             of = self.nearest("table")
             if of is None or of.rows is None:
@@ -302,20 +318,70 @@ class Page(HTMLParser):
         return "\n".join(self.stack[0].flow.done()).strip("\n")
 
 
-def aligned(rows: list[list[list[str]]]) -> list[str]:
-    """Lines of a table's rows: cells side by side, a cell's own lines below each other."""
-    columns = max(map(len, rows))
-    wide = [min(WIDEST, max((len(line) for row in rows if i < len(row) for line in row[i]), default=0)) for i in range(columns)]
+def number(given: dict | None, name: str, other: int) -> int:
+    """The number that an attribute begins with, as browsers read it; ``other`` without one of up to nine digits."""
+    found = NUMBER.match((given or {}).get(name, ""))
+    return int(found[1]) if found else other
+
+
+def wrapped(line: str) -> list[str]:
+    """The line in pieces of up to WIDEST characters, parted between words; longer words are pieces of their own."""
+    if len(line) <= WIDEST:
+        return [line]
     out = []
+    for word in line.split(" "):
+        if out and len(out[-1]) + 1 + len(word) <= WIDEST:
+            out[-1] += " " + word
+        else:
+            out.append(word)
+    return out
+
+
+def placed(rows: list[list[tuple[list[str], int, int]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """Each row's cells as (first column, columns, lines), empty ones where a cell above reaches down."""
+    out, below = [], []  # below: (first column, columns, rows left) of cells that reach down, by column
     for row in rows:
-        for k in range(max(1, max(map(len, row)))):
-            cells = [(cell[k] if k < len(cell) else "").ljust(wide[i]) for i, cell in enumerate(row)]
+        cells, column, waiting = [], 0, sorted(below)
+        below = [(c, n, left - 1) for c, n, left in waiting if left > 1]
+        for cell in row:
+            while waiting and waiting[0][0] <= column:
+                c, n, _ = waiting.pop(0)
+                cells.append((max(c, column), n, []))
+                column = max(c, column) + n
+            lines, wide, high = cell
+            # a cell is cut short by one that reaches down into its columns
+            if waiting and waiting[0][0] < column + wide:
+                wide = max(1, waiting[0][0] - column)
+            cells.append((column, wide, [piece for line in lines for piece in wrapped(line)]))
+            if high > 1:
+                below.append((column, wide, high - 1))
+            column += wide
+        out.append(cells)
+    return out
+
+
+def aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Lines of a table's rows: cells (lines, columns, rows) side by side, a cell's own lines below each other."""
+    grid = placed(rows)
+    wide: dict[int, int] = {}
+    for row in grid:
+        for column, n, lines in row:
+            if n == 1:
+                wide[column] = max(wide.get(column, 0), *(min(len(line), WIDEST) for line in lines), 0)
+    out = []
+    for row in grid:
+        sizes = [sum(wide.get(c, 0) for c in range(column, column + n)) + 3 * (n - 1) for column, n, _ in row]
+        for k in range(max(1, max(len(lines) for _, _, lines in row))):
+            cells = [(lines[k] if k < len(lines) else "").ljust(size) for (_, _, lines), size in zip(row, sizes)]
             out.append(" | ".join(cells).rstrip(" "))
     return out
 
 
 def visible_text(html: str | None) -> str:
-    return Page().text(html) if html else ""
+    try:
+        return Page().text(html) if html else ""
+    except AssertionError:  # the parser's way to give up on a declaration
+        return SPACES.sub(" ", unescape(TAG.sub(" ", html))).strip(" ")
 
 
 def extract_text(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:

@@ -71,3 +71,25 @@ def test_edges(spark):
     assert rows[3, len(wide)] == "w" * 100_000 + " | b\n" + "a".ljust(40) + " | b"
     assert extract_text(pages.limit(0)).count() == 0
     assert extract_text(pages).columns == ["page_id", "html", "text"]
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<ol start="--5"><li>a</ol>', "1. a"),
+        (f'<ol start="{"9" * 5000}"><li>a</ol>', "1. a"),
+        ('<ol start=" -3"><li>a<li>b</ol>', "-3. a\n-2. b"),
+        (f'<select size="{"9" * 5000}"><option>a<option>b</select>', "a"),
+        ("<![foo[x]]>y", "y"),
+        ("a<![CDATA[x]]>b<![", "ab<!["),
+        ("<table><tr><td colspan=2>ab<td>c<tr><td>1<td>2<td>3</table>", "ab    | c\n1 | 2 | 3"),
+        ("<table><tr><td rowspan=2>ab<td>c<tr><td>1<tr><td>x<td>y</table>", "ab | c\n   | 1\nx  | y"),
+        ("<table><tr><td rowspan=0>a<td colspan=5000>b<tr><td>c</table>", "a | b\n  | c"),
+        ("<table><tr><td>" + "ab " * 20 + "<td>x<tr><td>s<td>y</table>", ("ab " * 13).strip().ljust(38) + " | x\n" + ("ab " * 7).strip().ljust(38) + " |\n" + "s".ljust(38) + " | y"),
+        ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+        ('<div style="visibility:hidden">a<p style="visibility: visible">b</p>c</div>', "b"),
+        ('<div hidden>a<p style="visibility:visible">b</p></div>c', "c"),
+    ],
+)
+def test_odd_markup(html, text):
+    assert visible_text(html) == text
