@@ -8,7 +8,7 @@ returns the name and size. Only what successful tasks returned belongs to the ar
 Reading. Archives are cut into byte ranges. A task looks for the gzip magic in its range, tries each place by
 inflating a header there - compressed bytes can look like magic, but do not inflate to a WARC version line - and then reads
 members one after the other. It owns the members that start inside its range, and reads the last one to its end, beyond
-the range. A record's payload is held whole, an archive never.
+the range. A candidate counts if its whole header inflates and is one. A record's payload is held whole, an archive never.
 
 The folder is reached with pyarrow's file systems, so it may be local to all, or an object store.
 
@@ -19,6 +19,7 @@ record; those with the smallest id are all responses. Small or empty payloads ar
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,9 +36,12 @@ RANGE = 32 << 20
 READ = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
-PROBE = 4096  # bytes that a header's first line surely inflates from
+PROBE = 1 << 16  # bytes that a header surely inflates from
+PIECE = 1 << 16
+STEP = 256  # a header is inflated no further than to its end, as damage behind it is for its reader to find
 
 RECORD = "page_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
+FIELDS = [f.split()[0] for f in RECORD.split(", ")]
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -63,7 +67,10 @@ def record(page_id, url, payload: bytes, digest: str, first) -> bytes:
     if page_id is not None:
         fields.append(("X-Page-Id", str(page_id)))
     if url is not None:
-        fields.append(("WARC-Target-URI", "".join(url.split())))
+        plain = "".join(url.split())
+        fields.append(("WARC-Target-URI", plain))
+        if plain != url:  # white space has no place in a header
+            fields.append(("X-Url", json.dumps(url)))
     if first is not None:
         fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page-Id", str(first))]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -99,46 +106,82 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
 
 class Window:
-    """Bytes of a file from some place on, read a block at a time."""
+    """Bytes of a file from some place on, read a block at a time. ``held`` are the bytes from ``start`` on, ``at`` is the place."""
 
     def __init__(self, file, size: int, at: int):
-        self.file, self.size, self.at, self.data = file, size, at, b""
+        self.file, self.size, self.at, self.start, self.held = file, size, at, at, b""
+
+    def ahead(self) -> int:
+        return self.start + len(self.held) - self.at
 
     def fill(self, n: int) -> bool:
         """Whether there are n bytes ahead, or as many as the file has left and at least one."""
-        while len(self.data) < n and self.at + len(self.data) < self.size:
-            self.file.seek(self.at + len(self.data))
-            more = self.file.read(max(READ, n - len(self.data)))
+        while self.ahead() < n and self.at + self.ahead() < self.size:
+            self.file.seek(self.at + self.ahead())
+            more = self.file.read(max(READ, n - self.ahead()))
             if not more:
                 raise EOFError(f"the archive ends before its {self.size} bytes")
-            self.data += more
-        return bool(self.data)
+            self.held, self.start = self.held[self.at - self.start :] + more, self.at
+        return self.ahead() > 0
+
+    def peek(self, n: int) -> bytes:
+        begin = self.at - self.start
+        return self.held[begin : begin + n]
+
+    def find(self, what: bytes) -> int:
+        """How far ahead ``what`` begins, -1 if it is not among the bytes held."""
+        found = self.held.find(what, self.at - self.start)
+        return -1 if found < 0 else found - (self.at - self.start)
 
     def skip(self, n: int) -> None:
-        self.at, self.data = self.at + n, self.data[n:]
+        self.at += n
+
+    def back(self, at: int) -> None:
+        self.at, self.start, self.held = at, at, b""
+
+
+def fields_of(head: bytes) -> dict | None:
+    """The named fields of a record's header, without its end; None for what is none."""
+    lines = head.split(b"\r\n")
+    parts = [line.split(b": ", 1) for line in lines[1:]]
+    if lines[0] + b"\r\n" != VERSION or any(len(part) != 2 for part in parts):
+        return None
+    try:
+        fields = {k.decode("ascii"): v.decode() for k, v in parts}
+    except UnicodeDecodeError:
+        return None
+    return fields if fields.get("Content-Length", "").isascii() and fields.get("Content-Length", "").isdecimal() and fields.get("WARC-Type") else None
 
 
 def starts_record(data: bytes) -> bool:
+    """Whether these bytes inflate to a whole and valid header of a record."""
     if not data.startswith(MAGIC):
         return False
+    unpacker, head = zlib.decompressobj(31), b""
     try:
-        return zlib.decompressobj(31).decompress(data, len(VERSION)) == VERSION
+        while b"\r\n\r\n" not in head and data and not unpacker.eof:
+            head += unpacker.decompress(data, STEP)
+            data = unpacker.unconsumed_tail
+            if not head.startswith(VERSION[: len(head)]):
+                return False
     except zlib.error:
         return False
+    head, end, _ = head.partition(b"\r\n\r\n")
+    return bool(end) and fields_of(head) is not None
 
 
 def seek_record(window: Window, end: int) -> bool:
     """Moves to the first member that starts before ``end``."""
     while window.at < end and window.fill(PROBE):
-        found = window.data.find(MAGIC)
+        found = window.find(MAGIC)
         if found < 0:
-            window.skip(max(1, len(window.data) - len(MAGIC) + 1))
+            window.skip(max(1, window.ahead() - len(MAGIC) + 1))
             continue
         window.skip(found)
         if window.at >= end:
             return False
         window.fill(PROBE)
-        if starts_record(window.data[:PROBE]):
+        if starts_record(window.peek(PROBE)):
             return True
         window.skip(1)
     return False
@@ -150,7 +193,7 @@ def inflate(window: Window) -> bytes:
     while not unpacker.eof:
         if not window.fill(1):
             raise EOFError(f"a member is cut off at byte {window.at}")
-        data = window.data
+        data = window.peek(PIECE)
         parts.append(unpacker.decompress(data))
         window.skip(len(data) - len(unpacker.unused_data))
     return b"".join(parts)
@@ -158,7 +201,7 @@ def inflate(window: Window) -> bytes:
 
 def parse(data: bytes) -> dict:
     head, _, rest = data.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    fields = fields_of(head)
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     sizes = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
@@ -167,7 +210,7 @@ def parse(data: bytes) -> dict:
         raise ValueError(f"record {fields['WARC-Record-ID']}: the payload does not have its digest")
     return {
         "page_id": fields.get("X-Page-Id"),
-        "url": fields.get("WARC-Target-URI"),
+        "url": json.loads(fields["X-Url"]) if "X-Url" in fields else fields.get("WARC-Target-URI"),
         "record_type": kind,
         "refers_to": fields.get("X-Refers-To-Page-Id"),
         "payload_digest": digest,
@@ -177,22 +220,30 @@ def parse(data: bytes) -> dict:
 
 
 def records_in(store: fs.FileSystem, path: str, size: int, begin: int, end: int) -> Iterator[dict]:
-    """The records whose members start in begin:end."""
+    """The records whose members start in begin:end, and a row of its own kind for a member that is damaged."""
     with store.open_input_file(path) as file:
         window = Window(file, size, begin)
-        # after a member the next one follows at once; a damaged place is searched on from
+        # after a member the next one follows at once
         while seek_record(window, end):
-            yield parse(inflate(window))
+            at = window.at
+            try:
+                found = parse(inflate(window))
+            except (zlib.error, EOFError, ValueError, KeyError) as error:
+                # the members behind it are searched for from here
+                found = dict.fromkeys(FIELDS) | {"record_type": "damaged", "refers_to": f"{path}:{at}", "url": str(error), "payload_bytes": 0}
+                window.back(at + 1)
+            yield found
 
 
 def read_archives(archives: DataFrame, folder: str, range_bytes: int = RANGE) -> DataFrame:
-    """The records of archives (path, size) as RECORD. Revisits have no payload."""
+    """The records of archives (path, size) as RECORD. Revisits have no payload. A damaged member is a row of record_type "damaged", with its
+    place in refers_to and what is wrong in url; the records behind it are read."""
     begins = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     ranges = archives.select("path", "size", begins.alias("begin"))
     # a range is a task's work: dealt out evenly, whichever files they are of
     count = ranges.count()
     ranges = ranges.repartition(max(1, count), "path", "begin") if count else ranges
-    fields = [f.split()[0] for f in RECORD.split(", ")]
+    fields = FIELDS
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = file_system(folder)

@@ -52,3 +52,19 @@ def test_archives_are_plain_gzip(spark, tmp_path):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_damaged_members_are_passed_over(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u {i}", chr(97 + i) * 3000 + str(i)) for i in range(5)], "page_id long, url string, html string").coalesce(1)
+    path, size = warc.write_archives(pages, str(tmp_path)).first()
+    data = bytearray(open(path, "rb").read())
+    starts = [i for i in range(len(data)) if warc.starts_record(bytes(data[i : i + warc.PROBE]))]
+    assert len(starts) == 5
+    for at in (starts[0] + (starts[1] - starts[0]) * 3 // 4, starts[2] - 12):  # inside the first member, and the second one's checksum
+        data[at] ^= 0xFF
+        data[at + 1] ^= 0xFF
+    open(path, "wb").write(data[:-5])  # the last one is cut off
+    for range_bytes in (1 << 20, 101):
+        rows = warc.read_archives(spark.createDataFrame([(path, size - 5)], "path string, size long"), str(tmp_path), range_bytes).collect()
+        assert sorted((r.page_id, r.url) for r in rows if r.record_type == "response") == [("2", "u 2"), ("3", "u 3")]
+        assert sorted(r.refers_to for r in rows if r.record_type == "damaged") == sorted(f"{path}:{starts[k]}" for k in (0, 1, 4))
