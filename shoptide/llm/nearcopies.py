@@ -147,9 +147,11 @@ def proposals(signs: np.ndarray, roots: np.ndarray, least: float) -> tuple[np.nd
     np.fill_diagonal(alike, 0)
     hub = int((alike > 0).sum(1).argmax())
     alike[roots[:, None] == roots] = 0
+    # what is surely linked to the hub needs no partners of its own: its group meets there, however large
+    others = np.flatnonzero(alike[:, hub] < least + 2 * MARGIN)
     k = min(PARTNERS, len(signs) - 1)
-    near = np.argpartition(-alike, k - 1, axis=1)[:, :k]
-    i, j = np.repeat(np.arange(len(signs)), k), near.ravel()
+    near = np.argpartition(-alike[others], k - 1, axis=1)[:, :k]
+    i, j = np.repeat(others, k), near.ravel()
     i, j = np.concatenate((i, np.arange(len(signs)))), np.concatenate((j, np.full(len(signs), hub)))
     good = alike[i, j] > 0
     return i[good], j[good], hub
