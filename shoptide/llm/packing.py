@@ -16,8 +16,8 @@ queues' lengths. So deficits carry over windows and partitions alike, and every
    Ranges of BLOCK tasks bound the rows that any window function sees together.
 3. The ids are read again and cut into pieces. Spark broadcasts the begins where they are few and joins by shuffle else.
 
-Up to MAX_QUEUES sources have a queue of their own; beyond that, sources share that many queues by
-hash, which bounds the table of queues that goes to every task.
+A source with at least a MAX_QUEUES-th of all documents, or with a target, has a queue of its own; the others share SHARED queues by
+hash. So there are at most MAX_QUEUES + SHARED queues and one a target, whatever the number of sources. Pieces carry their true source.
 
 A null or empty text is a document of the end id alone. A null source is the source "". Equal rows are packed each.
 """
@@ -44,14 +44,17 @@ from shoptide.llm.words import small_batches
 LENGTH = 2048
 UNIT = 16
 MAX_QUEUES = 1024
+SHARED = 64
+OWN = "="  # begins the name of a source's own queue
 BLOCK = 1024
-CACHE = 300_000
+CACHE = 600_000
+LONGEST = 48
+TOGETHER = 1024  # units that are encoded as one text
 STEPS = 200_000  # units placed at a time
+CELLS = 1 << 20
 FRACTION = 16  # bits behind the point of a quantum
 
-# The split of byte-level BPE for texts in which Python's classes of letters, digits and spaces are Unicode's
-SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-ODD = re.compile("[\x1c-\x1f²³¹¼½¾]|[^\x00-ɏ]")
+CUT = re.compile(r"(?<=\S)(?= )")
 
 
 def native(ids: array) -> bytes:
@@ -62,7 +65,7 @@ def native(ids: array) -> bytes:
 
 
 class BytePairs:
-    """Ids of a tokenizers file as bytes, with a cache of pre-tokens."""
+    """Ids of a tokenizers file as bytes, with a cache of the units of texts."""
 
     def __init__(self, path: str):
         # Spark's tasks use the cores; threads of the library would only get in each other's way
@@ -75,8 +78,12 @@ class BytePairs:
         described = json.loads(self.library.to_str())
         splitter = described["pre_tokenizer"] or {}
         self.splits = not described["normalizer"] and splitter.get("type") == "ByteLevel" and not splitter["add_prefix_space"] and splitter["use_regex"]
-        special = [re.escape(x["content"]) for x in described["added_tokens"]]
-        self.whole = re.compile("|".join([ODD.pattern, *special]))
+        special = {x["id"]: x["content"] for x in described["added_tokens"]}
+        # a special token that takes spaces beside it would reach over a cut
+        self.splits = self.splits and not any(x["lstrip"] or x["rstrip"] for x in described["added_tokens"])
+        self.size = [0] * self.library.get_vocab_size()
+        for entry, i in self.library.get_vocab().items():
+            self.size[i] = len(special[i].encode()) if i in special else len(entry)  # a character a byte
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.fresh: dict[str, bytes] = {}
         self.stale: dict[str, bytes] = {}
@@ -87,18 +94,39 @@ class BytePairs:
         kind = "H" if self.dtype.itemsize == 2 else "I"
         return [native(array(kind, x.ids)) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def together(self, units: list[str]) -> list[bytes]:
+        """The ids of units that start with a space and end in something else, encoded as one text and parted by the lengths of their tokens."""
+        if not units:
+            return []
+        ids = self.library.encode("".join(units), add_special_tokens=False).ids
+        ends = np.cumsum([len(x.encode()) for x in units])
+        reached = np.cumsum([self.size[i] for i in ids])
+        at = np.searchsorted(reached, ends) + 1
+        if reached[-1] != ends[-1] or (reached[at - 1] != ends).any():
+            return self.encode(units)
+        width, whole = self.dtype.itemsize, np.array(ids, self.dtype).tobytes()
+        places = [0, *(at * width).tolist()]
+        return [whole[x:y] for x, y in zip(places, places[1:])]
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text. Where cutting may not be sure, the library takes the whole text."""
-        split = [None if text and (not self.splits or self.whole.search(text)) else SPLIT.findall(text or "") for text in texts]
+        """The ids of each text, put together from those of its units: it is cut before spaces behind what is no white space, where the
+        tokenizer begins anew."""
+        split = [CUT.split(text) if text and self.splits else [text or ""] for text in texts]
         if len(self.fresh) > CACHE:
             self.stale, self.fresh = self.fresh, {}
-        missing = set().union(*(x for x in split if x)) - self.fresh.keys()
-        self.fresh.update((x, self.stale[x]) for x in missing & self.stale.keys())
-        missing = list(missing - self.fresh.keys())
-        self.fresh.update(zip(missing, self.encode(missing)))
-        find = self.fresh.__getitem__
-        whole = iter(self.encode([t for t, x in zip(texts, split) if x is None]))
-        return [next(whole) if x is None else b"".join(map(find, x)) for x in split]
+        known, stale, long = self.fresh, self.stale, {}
+        wanted = [x for x in {x for units in split for x in units} if x not in known]
+        known.update((x, stale[x]) for x in wanted if x in stale)
+        wanted = [x for x in wanted if x not in known]
+        inner = [x for x in wanted if x[:1] == " " and not x[-1].isspace()] if self.splits else []
+        alone = set(wanted).difference(inner)
+        for begin in range(0, len(inner), TOGETHER):
+            some = inner[begin : begin + TOGETHER]
+            for x, made in zip(some, self.together(some)):
+                (known if len(x) <= LONGEST else long)[x] = made
+        for x, made in zip(alone, self.encode(list(alone))):
+            (known if len(x) <= LONGEST else long)[x] = made
+        return [b"".join([known[x] if x in known else long[x] for x in units]) for units in split]
 
 
 _tokenizers: dict[str, BytePairs] = {}
@@ -111,12 +139,17 @@ def tokenizer(path: str) -> BytePairs:
     return _tokenizers[path]
 
 
-def tokenize(docs: DataFrame, model: str, end: int, doc_id: str, text: str, queue: str) -> DataFrame:
-    """(doc, queue, part, before, n, ids): a document's ids with the end id, the map task, and the tokens of
+def large_sources(rows: DataFrame, max_queues: int) -> list[str]:
+    """The sources with at least a ``max_queues``-th of all rows, so at most that many."""
+    counts = settle(rows.groupBy("source").agg(F.count("*").alias("n")), "sources")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r["source"] for r in counts.filter(F.col("n") * max_queues >= total).select("source").collect()]
+
+
+def tokenize(rows: DataFrame, model: str, end: int) -> DataFrame:
+    """(doc, source, queue, part, before, n, ids) of (doc, source, queue, text): a document's ids with the end id, the map task, and the tokens of
     the same queue that come before it in the task."""
-    kind = docs.schema[doc_id].dataType
-    rows = docs.select(F.col(doc_id).alias("doc"), F.col(queue).alias("queue"), F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("doc", kind), T.StructField("queue", T.StringType())])
+    schema = T.StructType([rows.schema["doc"], T.StructField("source", T.StringType()), T.StructField("queue", T.StringType())])
     for name, field in (("part", T.LongType()), ("before", T.LongType()), ("n", T.LongType()), ("ids", T.BinaryType())):
         schema.add(name, field)
 
@@ -131,9 +164,9 @@ def tokenize(docs: DataFrame, model: str, end: int, doc_id: str, text: str, queu
                     before.append(sums.get(name, 0))
                     sums[name] = before[-1] + n
                 made = [pa.array(np.full(len(ids), part), pa.int64()), pa.array(before, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays([some.column("doc"), some.column("queue"), *made], schema.names)
+                yield pa.RecordBatch.from_arrays([some.column("doc"), some.column("source"), some.column("queue"), *made], schema.names)
 
-    return rows.mapInArrow(work, schema)
+    return rows.select("doc", "source", "queue", "text").mapInArrow(work, schema)
 
 
 def queue_begins(tokens: DataFrame) -> DataFrame:
@@ -165,6 +198,25 @@ class RoundRobin:
         gained = (rounds[:, None] * self.gain) >> FRACTION
         return np.minimum(self.sizes, gained // self.unit * self.unit)
 
+    def at_turns(self, turn: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each (turn, queue) what the queue has sent before the turn and after it, and what all have sent before the queue's share of
+        the turn. Worked through some turns at a time, so that no more than CELLS numbers of turns times queues are held."""
+        past, now, before = (np.empty(len(turn), np.int64) for _ in range(3))
+        turns, row = np.unique(turn, return_inverse=True)
+        order = np.argsort(row, kind="stable")
+        step = max(1, CELLS // max(1, len(self.names)))
+        for begin in range(0, len(turns), step):
+            some = turns[begin : begin + step]
+            a, b = np.searchsorted(row[order], (begin, begin + len(some)))
+            mine = order[a:b]
+            at, of = row[mine] - begin, q[mine]
+            old, new = self.sent(some - 1), self.sent(some)
+            past[mine], now[mine] = old[at, of], new[at, of]
+            new -= old
+            earlier = np.cumsum(new, axis=1) - new
+            before[mine] = old.sum(1)[at] + earlier[at, of]
+        return past, now, before
+
     def place(self, queue: np.ndarray, begin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Pieces of documents that stand in their queues at begin:begin + n, n at least 1. Per piece: the
         document's number, the tokens before it, its length, and its place in the stream."""
@@ -177,12 +229,10 @@ class RoundRobin:
         new = np.concatenate(([True], (np.diff(doc) > 0) | (np.diff(turn) > 0)))
         doc, turn = doc[new], turn[new]
         q = queue[doc]
-        row = np.arange(len(doc))
-        now, past = self.sent(turn), self.sent(turn - 1)
-        lo = np.maximum(past[row, q], begin[doc])
-        hi = np.minimum(now[row, q], begin[doc] + n[doc])
-        earlier = np.where(np.arange(len(self.names)) < q[:, None], now - past, 0).sum(1)
-        stream = past.sum(1) + earlier + lo - past[row, q]
+        past, now, before = self.at_turns(turn, q)
+        lo = np.maximum(past, begin[doc])
+        hi = np.minimum(now, begin[doc] + n[doc])
+        stream = before + lo - past
         start, size = lo - begin[doc], hi - lo
         # cut at the windows' ends
         windows = (stream + size - 1) // self.length - stream // self.length + 1
@@ -210,17 +260,18 @@ def pack(
 ) -> DataFrame:
     """Pieces of the documents: (doc id, source, start, length, ids, doc_tokens, sequence_id, offset), ids as
     little-endian unsigned 32-bit numbers. Sequences have ``length`` tokens, but for the last."""
-    names = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    if docs.select(names).distinct().limit(max_queues + 1).count() > max_queues:
-        names = F.pmod(F.xxhash64(names), F.lit(max_queues)).cast("string")
-    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), names.alias("queue"))
-    tokens = settle(tokenize(rows, model, end, "doc", "text", "queue"), "tokens")
+    name = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), name.alias("source"))
+    own = sorted({*large_sources(rows, max_queues), *(targets or {})})
+    queue = F.when(F.col("source").isin(own), F.concat(F.lit(OWN), "source")).otherwise(F.pmod(F.xxhash64("source"), F.lit(SHARED)).cast("string"))
+    targets = {OWN + x: share for x, share in (targets or {}).items()}
+    tokens = settle(tokenize(rows.withColumn("queue", queue), model, end), "tokens")
     begins = settle(queue_begins(tokens), "begins")
     lengths = {r.queue: r.n for r in tokens.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     robin = RoundRobin(lengths, targets, length)
     number = {x: i for i, x in enumerate(robin.names)}
     dtype = tokenizer(model).dtype
-    placed = tokens.join(begins, ["part", "queue"]).select("doc", "queue", (F.col("begin") + F.col("before")).alias("begin"), "n", "ids")
+    placed = tokens.join(begins, ["part", "queue"]).select("doc", "source", "queue", (F.col("begin") + F.col("before")).alias("begin"), "n", "ids")
     schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("source", T.StringType())])
     for name, kind in (("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())):
         schema.add(name, kind)
@@ -240,7 +291,7 @@ def pack(
                 ids = [np.frombuffer(x.as_buffer(), dtype=dtype).astype("<u4") for x in some.column("ids")]
                 pieces = [ids[d][s : s + k].tobytes() for d, s, k in zip(doc.tolist(), start.tolist(), size.tolist())]
                 at = pa.array(doc)
-                columns = [some.column("doc").take(at), some.column("queue").take(at)]
+                columns = [some.column("doc").take(at), some.column("source").take(at)]
                 columns += [pa.array(start), pa.array(size), pa.array(pieces, pa.binary())]
                 columns += [pa.array(n[doc]), pa.array(stream // length), pa.array(stream % length)]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)

@@ -105,3 +105,28 @@ def test_windows_hold_the_target_shares():
             if p // 2048 < held.shape[1]:
                 held[q, p // 2048] += k
     assert np.abs(held / 2048 - np.array([[2 / 7], [4 / 7], [1 / 7]])).max() < 0.03
+
+
+def test_many_sources_keep_names_and_targets(spark, library):
+    rows = [(i, f"text number {i} of some words", f"s{i % 3000}") for i in range(3000)] + [(5000 + i, "large " * 30, "large") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = pack(docs, MODEL, targets={"s7": 0.5}, length=512, max_queues=100).collect()
+    assert whole(found, 512) == {i: library(t) for i, t, _ in rows}
+    names = {i: s for i, _, s in rows}
+    assert all(r.source == names[r.doc_id] for r in found)
+    # the one with a target has a queue of its own and is all sent at the start
+    assert {r.sequence_id for r in found if r.source == "s7"} == {0}
+
+
+def test_places_with_thousands_of_queues_in_bounded_memory():
+    import tracemalloc
+
+    robin = RoundRobin({f"q{i:04}": 1000 + i for i in range(5000)})
+    queue = np.arange(5000).repeat(4)
+    begin = np.tile(np.arange(4) * 250, 5000)
+    tracemalloc.start()
+    doc, start, size, at = robin.place(queue, begin, np.full(20_000, 250))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    order = np.argsort(at)
+    assert (at[order][1:] >= (at + size)[order][:-1]).all() and size.sum() == 20_000 * 250
