@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shoptide.plans.queries import MIN_COUNT, REALTIME_NOW
+from shoptide.plans.queries import MIN_COUNT, REALTIME_NOW, SNAPSHOT_DAY
 
 _SPENDING = """
 paid as (
@@ -293,6 +293,40 @@ from activity""",
         "select * replace (cast(user_id as varchar) as user_id, cast(product_id as varchar) as product_id) "
         "from realtime",
     ),
+    "run_speed_layer_batches": _sql(
+        _REALTIME,
+        "select * replace (cast(user_id as varchar) as user_id, cast(product_id as varchar) as product_id) "
+        "from realtime",
+    ),
+    "live_realtime_view": _sql(
+        _REALTIME,
+        "select * replace (cast(user_id as varchar) as user_id, cast(product_id as varchar) as product_id) "
+        f"from realtime where computed_time > {REALTIME_NOW} - 600",
+    ),
+    "stored_serve_trending": _sql(
+        _REALTIME,
+        """
+select cast(product_id as varchar) as product_id, min_by(product_name, cast(user_id as varchar)) as product_name,
+       min_by(category, cast(user_id as varchar)) as category,
+       cast(sum(cast(trend_score as decimal(20,6))) as double) as trend_score,
+       cast(sum(view_count) as bigint) as view_count, cast(sum(cart_count) as bigint) as cart_count,
+       cast(sum(purchase_count) as bigint) as purchase_count
+from realtime group by product_id order by 4 desc, 1 limit 50""",
+    ),
+    "stored_trend_history": _sql(
+        _INTEREST,
+        """
+select cast(product_id as varchar) as product_id, computed_time as window_end,
+       cast(sum(cast(trend_score as decimal(20,6))) as double) as trend_score
+from trend_rows group by all""",
+    ),
+    "upsert_snapshot": f"""
+with counted as (
+  select o_custkey as user_id, o_orderdate >= date '{SNAPSHOT_DAY}' as late, count(*) as n_orders,
+         strftime(max(o_orderdate), '%Y-%m-%d') as newest
+  from orders group by all)
+select user_id, n_orders, newest from counted
+qualify row_number() over (partition by user_id order by late desc) = 1""",
     "expire_realtime_view": _sql(_REALTIME, f"select * from realtime where computed_time > {REALTIME_NOW} - 86400"),
     "raw_event_append": _sql(
         _ACTIVITY,

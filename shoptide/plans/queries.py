@@ -19,14 +19,20 @@ from shoptide.plans.batch import run_batch
 from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.schemas import ACTIVITY_MESSAGE
 from shoptide.sources.star import BAD, COMPLETED, EVENTS_TODAY, ORDERS_TODAY, StarTables
+from shoptide.sources.tables import read_message_files
+from shoptide.sources.views import read_snapshot, upsert_snapshot
 from shoptide.streaming import interest as I
 from shoptide.streaming.events import parse_activity_events
 from shoptide.streaming.speed import start_raw_append, start_speed_layer
-from shoptide.streaming.view import expire_realtime_view, read_realtime_view
+from shoptide.streaming.view import TTL_SECONDS, expire_realtime_view, read_realtime_view, read_windows
 
 # Baskets of the test tables share few products, so a pair counts from its second basket on.
 MIN_COUNT = 2
 
+BATCHES = 6
+WEEK = 7 * 86_400
+SNAPSHOT_DAY = "1997-01-01"
+
 # "Now" of the realtime reads, in epoch seconds: 2024-01-30 12:00 UTC.
 REALTIME_NOW = 1706616000
 
@@ -218,6 +224,53 @@ def speed_layer(spark: SparkSession, folder: str) -> DataFrame:
     return read_realtime_view(spark, target)
 
 
+def _shuffled_stream(spark: SparkSession, folder: str, name: str, **store) -> str:
+    """A view's folder after the streaming query over the event table's messages, dealt by hash to BATCHES micro-batches, so that
+    each holds events of all times. The watermark is wider than the table."""
+    inbox, target = _scratch(spark, f"{name}-in"), _scratch(spark, name)
+    StarTables(spark, folder).messages.repartition(BATCHES, "value").write.text(inbox)
+    source = read_message_files(spark, inbox, max_files_per_trigger=1)
+    query = start_speed_layer(
+        source, target, _scratch(spark, f"{name}-state"), {"availableNow": True}, watermark="1000 days", fan_in=2, **store
+    )
+    query.awaitTermination()
+    return target
+
+
+def speed_layer_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The view after several micro-batches that come out of order, its folders merged on the way."""
+    return read_realtime_view(spark, _shuffled_stream(spark, folder, "batches-view", slice_seconds=WEEK))
+
+
+def live_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The view that a stream with the usual time to live has left on disk, at REALTIME_NOW."""
+    target = _shuffled_stream(spark, folder, "live-view", ttl_seconds=TTL_SECONDS, now=lambda: REALTIME_NOW)
+    return read_realtime_view(spark, target, REALTIME_NOW)
+
+
+def stored_trending(spark: SparkSession, folder: str) -> DataFrame:
+    return V.serve_trending(speed_layer_batches(spark, folder))
+
+
+def stored_trend_history(spark: SparkSession, folder: str) -> DataFrame:
+    target = _shuffled_stream(spark, folder, "history-view", slice_seconds=WEEK)
+    return V.trend_history(read_windows(spark, target), minutes=None)
+
+
+def upserted_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per user as of one day, then the users with later orders put in by another snapshot."""
+    orders = StarTables(spark, folder).orders
+    target = _scratch(spark, "snapshot")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("user_id").agg(F.count("*").alias("n_orders"), F.max("order_date").cast("date").cast("string").alias("newest"))
+
+    early = F.col("order_date") < F.lit(SNAPSHOT_DAY).cast("timestamp")
+    upsert_snapshot(counted(orders.filter(early)), target, ["user_id"], 1)
+    upsert_snapshot(counted(orders.filter(~early)), target, ["user_id"], 2)
+    return read_snapshot(spark, target)
+
+
 def raw_event_append(spark: SparkSession, folder: str) -> DataFrame:
     """The plain append stream over the event table's messages, run until they are used up."""
     target = _scratch(spark, "raw-events")
@@ -302,6 +355,11 @@ QUERIES: dict[str, Query] = {
     "upsert_realtime_view": realtime_view,
     "expire_realtime_view": expired_view,
     "run_speed_layer": speed_layer,
+    "run_speed_layer_batches": speed_layer_batches,
+    "live_realtime_view": live_view,
+    "stored_serve_trending": stored_trending,
+    "stored_trend_history": stored_trend_history,
+    "upsert_snapshot": upserted_snapshot,
     "raw_event_append": raw_event_append,
     "serve_trending": serve_trending,
     "serve_realtime_recommendations": serve_realtime_recommendations,

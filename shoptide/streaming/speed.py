@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,8 +12,8 @@ from pyspark.sql.types import StructType
 
 from shoptide.schemas import RAW_MESSAGE
 from shoptide.streaming.events import parse_activity_events, parse_messages
-from shoptide.streaming.interest import WATERMARK, realtime_trend_score, sliding_user_interest
-from shoptide.streaming.view import upsert_realtime_view
+from shoptide.streaming.interest import TRAIL_SECONDS, WATERMARK, realtime_trend_score, sliding_user_interest
+from shoptide.streaming.view import TTL_SECONDS, upsert_realtime_view
 
 TRIGGER = {"processingTime": "30 seconds"}
 
@@ -22,9 +25,15 @@ def start_speed_layer(
     trigger: dict | None = None,
     value_col: str = "value",
     watermark: str = WATERMARK,
+    ttl_seconds: int | None = None,
+    now: Callable[[], float] = time.time,
+    **store: int,
 ) -> StreamingQuery:
     """Messages -> sliding interest -> score -> realtime view, in update mode.
 
+    With ``ttl_seconds``, what has expired by ``now()``, that long after its window, leaves the view's files as batches come in; without,
+    all is kept. ``store`` goes to ``upsert_realtime_view``.
+
     The number of shuffle partitions is fixed by the first run against a checkpoint; set it for the
     cluster before that. ``speed_input`` in the query's progress counts messages and unusable ones.
     """
@@ -34,9 +43,15 @@ def start_speed_layer(
         F.count_if(F.col("event_timestamp").isNull()).alias("unusable"),
     )
     scored = realtime_trend_score(sliding_user_interest(events, watermark=watermark))
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        # what a key's window is chosen over reaches a trail further back
+        expired = None if ttl_seconds is None else int(now()) - ttl_seconds - TRAIL_SECONDS
+        upsert_realtime_view(batch, batch_id, target, expired, **store)
+
     return (
         scored.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: upsert_realtime_view(batch, batch_id, target))
+        .foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
         .start()
@@ -74,9 +89,12 @@ def start_console(source: DataFrame, value_col: str = "value", trigger: dict | N
     )
 
 
-def run_speed_layer(source: DataFrame, target: str, checkpoint: str, debug: bool = False, **options) -> None:
-    """Run the speed layer until any of its queries ends."""
-    start_speed_layer(source, target, checkpoint, **options)
+def run_speed_layer(
+    source: DataFrame, target: str, checkpoint: str, debug: bool = False, ttl_seconds: int | None = TTL_SECONDS, **options
+) -> None:
+    """Run the speed layer until any of its queries ends. Rows leave the view ``ttl_seconds`` after their window."""
+    source.sparkSession.streams.resetTerminated()  # those that ended before are not waited for
+    start_speed_layer(source, target, checkpoint, ttl_seconds=ttl_seconds, **options)
     if debug:
         start_console(source)
     source.sparkSession.streams.awaitAnyTermination()

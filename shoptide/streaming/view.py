@@ -1,12 +1,20 @@
-"""The realtime view: one row per user and product, kept as one Parquet folder per micro-batch.
+"""The realtime view: one row per user and product, kept as a log of committed folders that are merged as they become many.
 
-A micro-batch writes the windows it changed, into a folder named by its id. Running it again
-replaces that folder, so a batch repeated after a failure changes nothing. Readers take each window's
-newest row and choose a key's window over all of them, so events may come in any order. A target belongs to one checkpoint, because batch ids start again with a new one.
+A micro-batch writes the windows that it changed to a new folder, by slices of time, and commits: the state is the list of slice folders that
+count (``sources/commits.py``). Readers open those folders alone, and of them only the slices that may hold what they ask for; they take each window's newest row and
+choose a key's window over all of them, so events may come in any order.
+
+FAN_IN folders of one slice and level are merged into one of the next level, in the commit of the batch that made them as many. A row is so
+rewritten a logarithmic number of times, and a slice has less than FAN_IN folders a level. With a time to live, rows that have
+expired are not written, a merge leaves them out, and a slice that has expired whole leaves the state and then the disk.
+
+A batch repeated after a failure adds the same rows once more, which changes nothing. A failure at any point leaves the last state.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,59 +23,121 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from shoptide.functions.clock import epoch_ms
 from shoptide.schemas import REALTIME_VIEW
-from shoptide.sources.tables import empty_table, read_or_none
+from shoptide.sources.commits import Commits
+from shoptide.sources.tables import empty_table
 from shoptide.streaming.interest import TRAIL_SECONDS, trailing_window
 
-_BATCH = "batch_id"
+_BATCH, _SLICE = "batch_id", "slice"
 TTL_SECONDS = 600
+SLICE_SECONDS = 3_600
+FAN_IN = 8
+KEEP = 10
+STORED = StructType([*REALTIME_VIEW.fields, StructField(_BATCH, LongType())])
 
 
-def upsert_realtime_view(batch: DataFrame, batch_id: int, target: str) -> None:
-    """Store all window rows that the batch updated. A failed write fails the batch, which is then repeated."""
-    batch.write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
-
-
-def latest_windows(deltas: DataFrame) -> DataFrame:
+def upsert_realtime_view(
+    batch: DataFrame,
+    batch_id: int,
+    target: str,
+    expired: int | None = None,
+    slice_seconds: int = SLICE_SECONDS,
+    fan_in: int = FAN_IN,
+    keep: int = KEEP,
+) -> None:
+    """Store all window rows that the batch updated. A failed write fails the batch, which is then repeated.
+
+    Rows with a ``computed_time`` (epoch seconds) up to ``expired`` need not be kept. ``slice_seconds`` belongs to the target.
+    ``keep`` commits can still be read after this one.
+    """
+    commits = Commits(batch.sparkSession, target)
+    version, state = commits.latest() or (0, {"slice_seconds": slice_seconds, "folders": []})
+    width = state["slice_seconds"]
+    if width != slice_seconds:
+        raise ValueError(f"{target} has slices of {width} seconds")
+    alive = [f for f in state["folders"] if expired is None or (f["slice"] + 1) * width > expired]
+    rows = batch.select(*REALTIME_VIEW.names, F.lit(batch_id).cast("long").alias(_BATCH))
+    added = _write_slices(commits, _unexpired(rows, expired), f"batch-{batch_id}", width, 0)
+    folders, level = alive + added, 0
+    while True:
+        many = Counter(f["slice"] for f in folders if f["level"] == level)
+        merged = [f for f in folders if f["level"] == level and many[f["slice"]] >= fan_in]
+        if merged:
+            deltas = _unexpired(_read(batch.sparkSession, commits, merged), expired)
+            folders = [f for f in folders if f not in merged]
+            folders += _write_slices(commits, latest_windows(deltas, keep_batch=True), f"merged-{batch_id}", width, level + 1)
+        elif not any(f["level"] > level for f in folders):
+            break
+        level += 1
+    if folders != state["folders"]:
+        commits.commit(version + 1, {"slice_seconds": width, "folders": folders})
+        commits.prune(keep, lambda content: [f["path"] for f in content["folders"]])
+
+
+def _unexpired(rows: DataFrame, expired: int | None) -> DataFrame:
+    return rows if expired is None else rows.filter(F.col("computed_time") > expired)
+
+
+def _write_slices(commits: Commits, rows: DataFrame, name: str, width: int, level: int) -> list[dict]:
+    """The folders written: a slice holds the windows that end after its begin and up to its end."""
+    name = f"{name}-{uuid.uuid4().hex}"
+    sliced = rows.withColumn(_SLICE, F.floor((F.col("computed_time") - 1) / width))
+    sliced.write.partitionBy(_SLICE).parquet(f"{commits.location}/{name}")
+    parts = commits.folders(name)
+    return [{"path": f"{name}/{part}", "slice": int(part.split("=")[1]), "level": level} for part in parts]
+
+
+def _read(spark: SparkSession, commits: Commits, folders: list[dict]) -> DataFrame:
+    if not folders:
+        return empty_table(spark, STORED)
+    return spark.read.schema(STORED).parquet(*(f"{commits.location}/{f['path']}" for f in folders))
+
+
+def latest_windows(deltas: DataFrame, keep_batch: bool = False) -> DataFrame:
     """Each window's newest row. A late event changes windows of the past; a window's counts only ever grow, so
     the row with most events is the newest, whichever batch brought it, and of equals that of the later batch."""
     key = ["user_id", "product_id", "product_name", "category", "computed_time"]
-    values = [c for c in deltas.columns if c not in (*key, _BATCH)]
+    values = [c for c in deltas.columns if c not in key and (keep_batch or c != _BATCH)]
     age = F.struct(F.col("view_count") + F.col("cart_count") + F.col("purchase_count"), _BATCH)
     return (
         deltas.groupBy(*key)
         .agg(F.max_by(F.struct(*values), age).alias("_row"))
         .select(*key, "_row.*")
-        .select(*[c for c in deltas.columns if c != _BATCH])
+        .select(*[c for c in deltas.columns if c in (*key, *values)])
     )
 
 
-def read_windows(spark: SparkSession, target: str) -> DataFrame:
-    """All windows stored at ``target``, one row each."""
-    stored = StructType([*REALTIME_VIEW.fields, StructField(_BATCH, LongType())])
-    deltas = read_or_none(lambda: spark.read.schema(stored).parquet(target))
-    return empty_table(spark, REALTIME_VIEW) if deltas is None else latest_windows(deltas)
+def read_windows(spark: SparkSession, target: str, after: int | None = None) -> DataFrame:
+    """All windows stored at ``target``, one row each; with ``after`` only those that end later, from the slices that hold such."""
+    commits = Commits(spark, target)
+    found = commits.latest()
+    folders = found[1]["folders"] if found else []
+    if after is not None and found:
+        folders = [f for f in folders if (f["slice"] + 1) * found[1]["slice_seconds"] > after]
+    return latest_windows(_unexpired(_read(spark, commits, folders), after))
 
 
 def read_realtime_view(
     spark: SparkSession,
     target: str,
-    as_of: date | datetime | None = None,
+    as_of: date | datetime | int | None = None,
     ttl_seconds: int = TTL_SECONDS,
     trail_seconds: int = TRAIL_SECONDS,
 ) -> DataFrame:
     """The view at ``target``: per user and product the window right after the newest event, chosen over all
     stored windows; with ``as_of`` without the rows that have expired by then."""
-    windows = read_windows(spark, target)
     if as_of is None:
-        return trailing_window(windows, trail_seconds)
+        return trailing_window(read_windows(spark, target), trail_seconds)
     # a row that is alive has nothing older than its trail to be chosen over
-    recent = expire_realtime_view(windows, as_of, ttl_seconds + trail_seconds)
+    recent = read_windows(spark, target, _seconds(as_of) - ttl_seconds - trail_seconds)
     return expire_realtime_view(trailing_window(recent, trail_seconds), as_of, ttl_seconds)
 
 
+def _seconds(moment: date | datetime | int) -> int:
+    return moment if isinstance(moment, int) else epoch_ms(moment) // 1000
+
+
 def expire_realtime_view(
     view: DataFrame, as_of: date | datetime | int, ttl_seconds: int = TTL_SECONDS
 ) -> DataFrame:
     """Rows not older than the time to live at ``as_of`` (a moment, or epoch seconds)."""
-    now = as_of if isinstance(as_of, int) else epoch_ms(as_of) // 1000
-    return view.filter(F.col("computed_time") > now - ttl_seconds)
+    return view.filter(F.col("computed_time") > _seconds(as_of) - ttl_seconds)

@@ -35,3 +35,29 @@ def test_chain_writes_all_views(spark, tmp_path):
     again = run_batch(inputs, str(tmp_path), as_of, options)
     assert again["user_recommendations_batch"].count() == rows
     assert again["user_segments"].count() == users
+
+
+def test_a_failed_run_is_resumed(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from shoptide.plans import batch
+
+    t = StarTables(spark, FOLDER)
+    inputs = {"users": t.users, "orders": t.orders, "order_items": t.order_items, "products": t.products, "events": t.events}
+    options = {"user_segments": {"completed": COMPLETED, "bad": BAD, "partitions": 4}, "user_consumption_profile": {"completed": COMPLETED}, "trending_products": {"orders_as_of": ORDERS_TODAY}}
+    as_of = datetime(EVENTS_TODAY.year, EVENTS_TODAY.month, EVENTS_TODAY.day)
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, "user_recommendations", broken)
+        with pytest.raises(OSError):
+            run_batch(inputs, str(tmp_path), as_of, options)
+    written = {p for p in tmp_path.glob("*/v*") if p.is_dir()}
+    assert len(written) == 5
+    for name in ("user_segments", "user_consumption_profile", "trending_products", "product_similarity", "product_complementary"):
+        monkeypatch.setattr(batch, name, broken)
+    views = run_batch(inputs, str(tmp_path), as_of, options, resume=True)
+    assert views["user_recommendations_batch"].count() > 0
+    assert written < {p for p in tmp_path.glob("*/v*") if p.is_dir()}

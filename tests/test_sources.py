@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 
 from shoptide.schemas import EVENTS, ORDERS, TABLES
 from shoptide.sources.tables import read_csv_table, read_inputs, read_or_none, read_view
-from shoptide.sources.views import merge_by_key, read_snapshot, upsert_snapshot, write_csv, write_view
+from shoptide.sources.views import commit_view, merge_by_key, read_committed, read_snapshot, upsert_snapshot, write_csv, write_view
 
 HEADERS = {
     "users": "user_id,name,email,gender,signup_date\nu1,Ann,a@example.net,Other,2025-03-13\n",
@@ -70,3 +70,29 @@ def test_upsert_keeps_what_is_not_updated(spark, tmp_path):
     assert sorted(read_snapshot(spark, at).collect()) == wanted
     merged = merge_by_key(made(("u1", "a")), made(("u1", "z")), ["user_id"])
     assert merged.collect() == [("u1", "z")]
+
+
+def test_committed_versions(spark, tmp_path):
+    at = str(tmp_path / "v")
+    assert read_committed(spark, at) is None
+    commit_view(spark.range(3), at, 10)
+    opened = read_committed(spark, at)
+    commit_view(spark.range(5), at, 20)
+    # who has opened the older version reads it to the end
+    assert opened.count() == 3 and read_committed(spark, at).count() == 5 and read_committed(spark, at, below=20).count() == 3
+    with pytest.raises(Exception):
+        commit_view(spark.range(4).selectExpr("assert_true(id < 2)"), at, 30)
+    assert read_committed(spark, at).count() == 5
+    commit_view(spark.range(6), at, 30)
+    assert read_committed(spark, at).count() == 6
+    assert len([p for p in (tmp_path / "v").iterdir() if not p.name.startswith("_")]) == 2  # older and failed ones are gone
+
+
+def test_committed_versions_are_sorted_inside_each_file(spark, tmp_path):
+    view = spark.range(2_000, numPartitions=2).selectExpr("id * 37 % 100 as user_id", "id as product_id")
+    commit_view(view, str(tmp_path / "v"), 1, sort_by=["user_id"])
+    files = list((tmp_path / "v").glob("v1-*/part-*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        users = [r["user_id"] for r in spark.read.parquet(str(file)).collect()]
+        assert users == sorted(users) and len(users) == 1_000

@@ -8,7 +8,8 @@ from shoptide.schemas import RAW_MESSAGE, REALTIME_VIEW
 from shoptide.streaming.events import parse_activity_events
 from shoptide.streaming.interest import realtime_trend_score, sliding_user_interest, trailing_window
 from shoptide.streaming.speed import start_raw_append, start_speed_layer
-from shoptide.streaming.view import expire_realtime_view, read_realtime_view, upsert_realtime_view
+from shoptide.sources.commits import Commits
+from shoptide.streaming.view import FAN_IN, KEEP, expire_realtime_view, read_realtime_view, read_windows, upsert_realtime_view
 
 START = int(datetime(2025, 11, 14, 10, tzinfo=timezone.utc).timestamp())
 ONCE = {"availableNow": True}
@@ -162,3 +163,103 @@ def test_out_of_order_events_are_merged(spark, tmp_path):
         upsert_realtime_view(every.filter((since > 0) & (since <= 300)), k, str(tmp_path))
         found, wanted = read_realtime_view(spark, str(tmp_path)), trailing_window(every)
         assert [tuple(r) for r in found.select(wanted.columns).collect()] == [tuple(r) for r in wanted.collect()]
+
+
+def state(spark, target):
+    return Commits(spark, str(target)).latest()[1]["folders"]
+
+
+def stored_times(spark, target):
+    """Window ends in all files on disk, in minutes."""
+    return minutes(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(str(target)).collect())
+
+
+def test_folders_are_merged_and_old_ones_leave_the_disk(spark, tmp_path):
+    target, seen = str(tmp_path), []
+    for k in range(20):
+        seen.append(message(k % 7, product=f"p{k % 3}"))
+        upsert_realtime_view(scored(spark, *seen), k, target, fan_in=3, keep=1)
+        folders = state(spark, target)
+        for level in range(4):
+            assert sum(f["level"] == level for f in folders) < 3
+    assert max(f["level"] for f in folders) >= 2
+    on_disk = {str(p.parent.relative_to(tmp_path)) for p in tmp_path.glob("*/slice=*/*.parquet")}
+    assert on_disk == {f["path"] for f in folders}
+    wanted = trailing_window(scored(spark, *seen))
+    assert sorted(read_realtime_view(spark, target).select(wanted.columns).collect()) == sorted(wanted.collect())
+
+
+def test_expired_rows_leave_the_disk(spark, tmp_path):
+    target = str(tmp_path)
+    for k, minute in enumerate([0, 40, 80, 120, 121, 122]):
+        now = START + minute * 60
+        upsert_realtime_view(scored(spark, message(minute, product=f"p{minute}")), k, target, now - 840, slice_seconds=600, fan_in=2, keep=1)
+    assert min(stored_times(spark, target)) > 122 - 14
+    assert all((f["slice"] + 1) * 600 > now - 840 for f in state(spark, target))
+    live = read_realtime_view(spark, target, now)
+    assert sorted(r["product_id"] for r in live.collect()) == ["p120", "p121", "p122"]
+
+
+def test_reads_open_only_slices_that_may_be_alive(spark, tmp_path):
+    target = str(tmp_path)
+    upsert_realtime_view(scored(spark, message(0), message(300), message(601)), 1, target)
+    assert len(state(spark, target)) > 2
+    now = START + 601 * 60
+    files = read_realtime_view(spark, target, now).inputFiles()
+    assert files and len(files) < len(read_windows(spark, target).inputFiles())
+    assert minutes(read_realtime_view(spark, target, now).collect()) == [602]
+
+
+def test_a_crash_leaves_the_last_state(spark, tmp_path, monkeypatch):
+    target = str(tmp_path)
+    upsert_realtime_view(scored(spark, message(0)), 0, target)
+    before = read_realtime_view(spark, target).collect()
+
+    def broken(*_):
+        raise OSError("no room")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Commits, "commit", broken)
+        with pytest.raises(OSError):
+            upsert_realtime_view(scored(spark, message(0), message(2)), 1, target)
+    assert read_realtime_view(spark, target).collect() == before
+    left = {p.name for p in tmp_path.glob("batch-1-*")}
+    assert len(left) == 1
+    upsert_realtime_view(scored(spark, message(0), message(2)), 1, target)
+    assert minutes(read_realtime_view(spark, target).collect()) == [3]
+    assert not left & {p.name for p in tmp_path.iterdir()}  # the failed attempt's folder is gone
+
+
+def test_one_of_two_writers_of_a_version_fails(spark, tmp_path):
+    log = Commits(spark, str(tmp_path))
+    log.commit(1, {"a": 1})
+    log.commit(1, {"a": 2})
+    assert log.latest() == (1, {"a": 2}) and log.latest(below=1) is None
+    log._files = lambda: []  # as a writer that has not seen the others
+    with pytest.raises(Exception, match="exist"):
+        log.commit(1, {"a": 3})
+
+
+def test_shuffled_stream_equals_the_whole(spark, tmp_path):
+    box, out = tmp_path / "in", str(tmp_path / "out")
+    messages = [message((m * 37) % 50, kind, user=f"u{m % 3}", product=f"p{m % 4}") for m in range(90) for kind in ("view", "cart")]
+    for k in range(6):
+        drop(box, f"f{k}", *messages[k::6])
+    query = start_speed_layer(stream(spark, box, 1), out, str(tmp_path / "state"), ONCE, watermark="1 day", fan_in=2)
+    query.awaitTermination()
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) >= 5
+    wanted = trailing_window(scored(spark, *messages))
+    assert sorted(read_realtime_view(spark, out).select(wanted.columns).collect()) == sorted(wanted.collect())
+
+
+def test_run_speed_layer_keeps_what_is_alive(spark, tmp_path):
+    import time
+
+    from shoptide.streaming.speed import run_speed_layer
+
+    box, out = tmp_path / "in", str(tmp_path / "out")
+    ago = lambda seconds: (time.time() - seconds) * 1000.0
+    drop(box, "a", message(0, event_timestamp=ago(30)), message(0, product="old", event_timestamp=ago(9_000)))
+    run_speed_layer(stream(spark, box), out, str(tmp_path / "state"), trigger=ONCE, watermark="1 day")
+    assert {r["product_id"] for r in read_realtime_view(spark, out).collect()} == {"p"}
+    assert FAN_IN > 1 and KEEP > 1
