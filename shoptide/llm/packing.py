@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoptide.llm.alignment import byte_of
 from shoptide.llm.shared import settle
 from shoptide.llm.words import small_batches
 
@@ -47,14 +48,13 @@ MAX_QUEUES = 1024
 SHARED = 64
 OWN = "="  # begins the name of a source's own queue
 BLOCK = 1024
-CACHE = 600_000
-LONGEST = 48
-TOGETHER = 1024  # units that are encoded as one text
 STEPS = 200_000  # units placed at a time
 CELLS = 1 << 20
 FRACTION = 16  # bits behind the point of a quantum
 
-CUT = re.compile(r"(?<=\S)(?= )")
+# The split of byte-level BPE, and the characters on whose class versions of Unicode, or libraries, may differ
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ODD = re.compile("[\x1c-\x1f]|[^\x00-\u024f]")
 
 
 def native(ids: array) -> bytes:
@@ -64,10 +64,29 @@ def native(ids: array) -> bytes:
     return ids.tobytes()
 
 
+def same_merges(merges: list[tuple[bytes, bytes]], ranks: dict[bytes, int]) -> bool:
+    """Whether merging by rank, of any two neighbours that make an entry, gives what the listed merges give. So it is if ids rise with the merges,
+    and each entry is left, by the merges before it, in just the two parts that its own merge puts together."""
+    last = -1
+    for left, right in merges:
+        limit = ranks[left + right]
+        if limit <= last:
+            return False
+        last, parts = limit, [bytes([x]) for x in left + right]
+        while len(parts) > 2:
+            found = min((ranks.get(x + y, limit), i) for i, (x, y) in enumerate(zip(parts, parts[1:])))
+            if found[0] >= limit:
+                return False
+            parts[found[1] : found[1] + 2] = [parts[found[1]] + parts[found[1] + 1]]
+        if parts != [left, right]:
+            return False
+    return True
+
+
 class BytePairs:
-    """Ids of a tokenizers file as bytes, with a cache of the units of texts."""
+    """Ids of a tokenizers file as bytes. Texts go through the same vocabulary as ranks, which is faster, where that is sure to give the same ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, proven: bool | None = None):
         # Spark's tasks use the cores; threads of the library would only get in each other's way
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -76,66 +95,48 @@ class BytePairs:
         self.library.no_truncation()
         self.library.no_padding()
         described = json.loads(self.library.to_str())
-        splitter = described["pre_tokenizer"] or {}
-        self.splits = not described["normalizer"] and splitter.get("type") == "ByteLevel" and not splitter["add_prefix_space"] and splitter["use_regex"]
-        special = {x["id"]: x["content"] for x in described["added_tokens"]}
-        # a special token that takes spaces beside it would reach over a cut
-        self.splits = self.splits and not any(x["lstrip"] or x["rstrip"] for x in described["added_tokens"])
-        self.size = [0] * self.library.get_vocab_size()
-        for entry, i in self.library.get_vocab().items():
-            self.size[i] = len(special[i].encode()) if i in special else len(entry)  # a character a byte
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.fresh: dict[str, bytes] = {}
-        self.stale: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        kind = "H" if self.dtype.itemsize == 2 else "I"
-        return [native(array(kind, x.ids)) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def together(self, units: list[str]) -> list[bytes]:
-        """The ids of units that start with a space and end in something else, encoded as one text and parted by the lengths of their tokens."""
-        if not units:
-            return []
-        ids = self.library.encode("".join(units), add_special_tokens=False).ids
-        ends = np.cumsum([len(x.encode()) for x in units])
-        reached = np.cumsum([self.size[i] for i in ids])
-        at = np.searchsorted(reached, ends) + 1
-        if reached[-1] != ends[-1] or (reached[at - 1] != ends).any():
-            return self.encode(units)
-        width, whole = self.dtype.itemsize, np.array(ids, self.dtype).tobytes()
-        places = [0, *(at * width).tolist()]
-        return [whole[x:y] for x, y in zip(places, places[1:])]
+        self.kind = "H" if self.dtype.itemsize == 2 else "I"
+        special = [x["content"] for x in described["added_tokens"]]
+        self.whole = re.compile("|".join([ODD.pattern, *map(re.escape, special)]))
+        self.ranked = None
+        splitter, model = described["pre_tokenizer"] or {}, described["model"]
+        plain = not described["normalizer"] and splitter.get("type") == "ByteLevel" and not splitter["add_prefix_space"] and splitter["use_regex"]
+        plain = plain and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        if plain:
+            import tiktoken
+
+            byte = byte_of()
+            decoded = lambda x: bytes(byte[c] for c in x)
+            ranks = {decoded(x): i for x, i in model["vocab"].items() if x not in special}
+            merges = [tuple(map(decoded, x if isinstance(x, list) else x.split(" "))) for x in model["merges"]]
+            self.proven = same_merges(merges, ranks) if proven is None else proven
+            if self.proven:
+                self.ranked = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        else:
+            self.proven = False
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, put together from those of its units: it is cut before spaces behind what is no white space, where the
-        tokenizer begins anew."""
-        split = [CUT.split(text) if text and self.splits else [text or ""] for text in texts]
-        if len(self.fresh) > CACHE:
-            self.stale, self.fresh = self.fresh, {}
-        known, stale, long = self.fresh, self.stale, {}
-        wanted = [x for x in {x for units in split for x in units} if x not in known]
-        known.update((x, stale[x]) for x in wanted if x in stale)
-        wanted = [x for x in wanted if x not in known]
-        inner = [x for x in wanted if x[:1] == " " and not x[-1].isspace()] if self.splits else []
-        alone = set(wanted).difference(inner)
-        for begin in range(0, len(inner), TOGETHER):
-            some = inner[begin : begin + TOGETHER]
-            for x, made in zip(some, self.together(some)):
-                (known if len(x) <= LONGEST else long)[x] = made
-        for x, made in zip(alone, self.encode(list(alone))):
-            (known if len(x) <= LONGEST else long)[x] = made
-        return [b"".join([known[x] if x in known else long[x] for x in units]) for units in split]
+        """The ids of each text."""
+        out = []
+        for text in texts:
+            if not text:
+                ids = []
+            elif self.ranked is None or self.whole.search(text):
+                ids = self.library.encode(text, add_special_tokens=False).ids
+            else:
+                ids = self.ranked.encode_ordinary(text)
+            out.append(native(array(self.kind, ids)))
+        return out
 
 
 _tokenizers: dict[str, BytePairs] = {}
 
 
-def tokenizer(path: str) -> BytePairs:
-    """The worker's tokenizer; it and its cache outlive the task."""
+def tokenizer(path: str, proven: bool | None = None) -> BytePairs:
+    """The worker's tokenizer, which outlives the task. The driver tells whether the merges have been found to be the same."""
     if path not in _tokenizers:
-        _tokenizers[path] = BytePairs(path)
+        _tokenizers[path] = BytePairs(path, proven)
     return _tokenizers[path]
 
 
@@ -153,8 +154,10 @@ def tokenize(rows: DataFrame, model: str, end: int) -> DataFrame:
     for name, field in (("part", T.LongType()), ("before", T.LongType()), ("n", T.LongType()), ("ids", T.BinaryType())):
         schema.add(name, field)
 
+    proven = tokenizer(model).proven
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, sums, part = tokenizer(model), {}, TaskContext.get().partitionId()
+        pairs, sums, part = tokenizer(model, proven), {}, TaskContext.get().partitionId()
         last = np.array([end], dtype=pairs.dtype).tobytes()
         for batch in batches:
             for some in small_batches(batch, "text"):

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from shoptide.llm.packing import FRACTION, RoundRobin, pack
+from shoptide.llm.packing import FRACTION, BytePairs, RoundRobin, pack, same_merges
 from shoptide.llm.queries import QUERIES, tokenizer_path
 
 MODEL = tokenizer_path("byte_bpe_50k.json")
@@ -130,3 +130,22 @@ def test_places_with_thousands_of_queues_in_bounded_memory():
     tracemalloc.stop()
     order = np.argsort(at)
     assert (at[order][1:] >= (at + size)[order][:-1]).all() and size.sum() == 20_000 * 250
+
+
+def test_ranks_are_used_only_where_they_give_the_listed_merges():
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258}
+    listed = lambda *m: [tuple(x.split(b" ")) for x in m]
+    assert same_merges(listed(b"a b", b"b c", b"ab c"), ranks)
+    # "ab" comes first, so "a" and "bc" never meet, but the ranks would put "ab" and "c" together
+    assert not same_merges(listed(b"a b", b"b c", b"a bc"), ranks)
+    assert not same_merges(listed(b"b c", b"a b", b"a bc"), ranks)
+
+
+def test_ranks_equal_library(library):
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghij étöñ  \n\t.,!?'0123456789_-ABC²½\u00a0\u0085ß€") + [" the", "ing", "'ll", "'S", "<|endoftext|>", "\x1c"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 80))) for _ in range(3000)]
+    pairs = BytePairs(MODEL)
+    assert pairs.ranked is not None
+    for text, ids in zip(texts, pairs.ids(texts)):
+        assert [*np.frombuffer(ids, pairs.dtype).tolist(), 1] == library(text), text
