@@ -97,7 +97,7 @@ def minima(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(id, mark, n, class, check, minima): a hash of the text as it stands; the class is 0 without a set; minima 32 bits each."""
+    """(id, mark, n, class, check, minima): a hash of the text as it stands; the class is 0 without a set; minima 16 bits each."""
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["id"]]).add("mark", "long").add("n", "long").add("class", "long").add("check", "long").add("minima", "binary")
 
@@ -106,7 +106,7 @@ def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
             for some in small_batches(batch, "text"):
                 hashes, first = shingle_sets(some.column("text"), size)
                 n = np.diff(first)
-                bits = (mixed(minima(hashes, first)) >> np.uint64(32)).astype("<u4")
+                bits = (mixed(minima(hashes, first)) >> np.uint64(48)).astype("<u2")
                 held = iter(bits)
                 signs = [next(held).tobytes() if k else None for k in n]
                 made = [n, sums(hashes, first, 1), sums(hashes, first, 2)]
@@ -116,7 +116,8 @@ def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
 
 
 def forest(classes: DataFrame, order: int) -> DataFrame:
-    """A row per class and tree: (region, label, class, root, sign), regions of different trees never equal."""
+    """A row per class and tree: (region, label, class, root, sign), regions of different trees never equal. The sign is what windows
+    compare: 4 bits of each minimum, two to a byte."""
     hashes = tree_hashes(order)
     schema = "region long, label binary, class long, root long, sign binary"
 
@@ -124,10 +125,10 @@ def forest(classes: DataFrame, order: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 some = batch.slice(at, 2048)
-                signs = np.frombuffer(b"".join(some.column("minima").to_pylist()), "<u4").reshape(-1, HASHES)
+                signs = np.frombuffer(b"".join(some.column("minima").to_pylist()), "<u2").reshape(-1, HASHES)
                 small = np.ascontiguousarray(signs.astype(np.uint8))
                 names, roots = some.column("class").to_numpy(), some.column("root").to_numpy()
-                short = pa.array([x.tobytes() for x in small], pa.binary())
+                short = pa.array([x.tobytes() for x in (small[:, ::2] & 15) | (small[:, 1::2] << 4)], pa.binary())
                 for tree, own in enumerate(hashes):
                     region = np.full(len(signs), tree + 1, np.uint64)
                     for j in own[:DEPTH]:
@@ -139,10 +140,15 @@ def forest(classes: DataFrame, order: int) -> DataFrame:
     return classes.select("class", "root", "minima").mapInArrow(work, schema)
 
 
+def unpacked(signs: np.ndarray) -> np.ndarray:
+    """A row of HASHES small numbers for each packed sign."""
+    return np.stack((signs & 15, signs >> 4), axis=2).reshape(len(signs), -1)
+
+
 def proposals(signs: np.ndarray, roots: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, int]:
     """Pairs (i, j) of a window that may be links and are not in one component yet, a few for each member; its hub."""
     same = np.stack([(signs == row).mean(1) for row in signs])
-    alike = (same - 1 / 256) / (1 - 1 / 256)
+    alike = (same - 1 / 16) / (1 - 1 / 16)
     alike[alike < least] = 0
     np.fill_diagonal(alike, 0)
     hub = int((alike > 0).sum(1).argmax())
@@ -162,7 +168,7 @@ def candidates(rows: DataFrame, least: float) -> DataFrame:
     ordered = rows.repartition("region").sortWithinPartitions("region", "label", "class")
 
     def region_pairs(names: np.ndarray, roots: np.ndarray, signs: np.ndarray, state: dict) -> list[tuple[np.ndarray, np.ndarray]]:
-        i, j, hub = proposals(signs, roots, least)
+        i, j, hub = proposals(unpacked(signs), roots, least)
         hubs = state.setdefault("hubs", [])
         if names[hub] not in [h for h, _, _ in hubs]:
             state["hubs"] = [*hubs[-HUBS + 1 :], (names[hub], roots[hub], signs[hub])]
@@ -250,12 +256,14 @@ def shingle_counts(docs: DataFrame, size: int, text: str) -> np.ndarray:
                 np.add.at(total, buckets(hashes), 1)
         slices = total.reshape(-1, SLICE)
         used = np.flatnonzero(slices.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([slices[k].tobytes() for k in used], pa.binary())], ["slice", "counts"])
+        packed = [slices[k].astype("<u2" if slices[k].max() < 1 << 16 else "<i8").tobytes() for k in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(packed, pa.binary())], ["slice", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(SLICE, np.int64)
         for held in table.column("counts"):
-            total += np.frombuffer(held.as_py(), np.int64)
+            own = held.as_py()
+            total += np.frombuffer(own, "<u2" if len(own) == 2 * SLICE else "<i8")
         return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     schema = "slice long, counts binary"
@@ -295,12 +303,14 @@ def prefixes(docs: DataFrame, size: int, percent: int, text: str) -> DataFrame:
 def meeting(docs: DataFrame, roots: DataFrame, size: int, percent: int, text: str) -> DataFrame:
     """Pairs of classes (a, b), a < b, of different components that may be links: all there are, by the prefix filter."""
     held = prefixes(docs, size, percent, text).join(roots, "class")
-    rows = held.select("class", "root", F.col("n").cast("int").alias("n"), F.posexplode("shingles").alias("place", "shingle"))
-    ordered = rows.select("shingle", "root", "class", "n", "place").repartition("shingle").sortWithinPartitions("shingle", "root")
+    rows = held.select("class", "root", "n", F.posexplode("shingles").alias("place", "shingle"))
+    # these rows are most of what is shuffled: size and place go as one number
+    ordered = rows.select("shingle", "root", "class", (F.shiftleft("n", 32) + F.col("place")).alias("size_place")).repartition("shingle").sortWithinPartitions("shingle", "root")
 
-    def pairs_of(shingle: np.ndarray, root: np.ndarray, names: np.ndarray, n: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs_of(shingle: np.ndarray, root: np.ndarray, names: np.ndarray, size_place: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(shingle):
             return
+        n, place = size_place >> 32, size_place & 0xFFFFFFFF
         same = np.diff(shingle) == 0
         ends = np.append(np.flatnonzero(~same) + 1, len(shingle))
         runs = np.append(np.flatnonzero(~same | (np.diff(root) != 0)) + 1, len(shingle))
@@ -324,15 +334,15 @@ def meeting(docs: DataFrame, roots: DataFrame, size: int, percent: int, text: st
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(k).to_numpy().astype(np.int64, copy=False) for k in range(5)]
+            columns = [batch.column(k).to_numpy() for k in range(4)]
             cut = int(np.searchsorted(columns[0], columns[0][-1]))
             if waiting and columns[0][0] == columns[0][-1] == waiting[0][0][0]:
                 waiting.append(columns)
                 continue
-            yield from pairs_of(*(np.concatenate([w[k] for w in waiting] + [columns[k][:cut]]) for k in range(5)))
+            yield from pairs_of(*(np.concatenate([w[k] for w in waiting] + [columns[k][:cut]]) for k in range(4)))
             waiting = [[c[cut:] for c in columns]]
         if waiting:
-            yield from pairs_of(*(np.concatenate([w[k] for w in waiting]) for k in range(5)))
+            yield from pairs_of(*(np.concatenate([w[k] for w in waiting]) for k in range(4)))
 
     return ordered.mapInArrow(work, "a long, b long").distinct()
 
