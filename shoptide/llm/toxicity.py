@@ -191,7 +191,9 @@ def train(
     chosen = graded.groupBy("id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     # at most ``sample`` ids
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text")
+    rows = texts.join(F.broadcast(chosen), "id")
+    # an id that many rows repeat counts once, with one of its texts
+    rows = rows.groupBy("id").agg(F.first("grade").alias("grade"), F.min_by("text", F.xxhash64("text")).alias("text"))
     schema = T.StructType([rows.schema["id"], rows.schema["grade"]])
     schema.add("words", T.ArrayType(T.LongType())).add("twice", T.ArrayType(T.BooleanType()))
     found = rows.mapInArrow(feature_sets, schema).toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])

@@ -71,3 +71,14 @@ def test_beginnings_are_cut_at_characters():
     (long, four), (longer, five) = prefix_hashes(words, 4), prefix_hashes(words, 5)
     assert long.tolist() == [0, 1] and four[0] == four[1]
     assert longer.tolist() == [0, 1] and five[0] != five[1]
+
+
+def test_repeated_ids_count_once(spark):
+    texts = [(10 + i, f"vile words {i}" if i % 4 == 0 else f"kind words {i}") for i in range(200)]
+    labels = spark.createDataFrame([(10 + i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    schema = "doc_id long, text string"
+    once = train(spark.createDataFrame(texts, schema), labels, F.col("toxic"))
+    repeated = texts + [texts[0], texts[1]] * 500
+    often = train(spark.createDataFrame(repeated, schema), labels, F.col("toxic"))
+    assert (once.words == often.words).all() and (once.weights == often.weights).all()
+    assert (once.thresholds == often.thresholds).all() and once.cut == often.cut
