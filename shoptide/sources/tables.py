@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +42,12 @@ def read_or_none(read) -> DataFrame | None:
         raise
 
 
-def read_inputs(spark: SparkSession, root: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The tables the batch chain reads. Events may be absent: then the table is empty."""
+def read_inputs(spark: SparkSession, root: str, fmt: str = "csv", optional: Collection[str] = ("events",)) -> dict[str, DataFrame]:
+    """The tables the batch chain reads. Those in ``optional`` may be absent: then the table is empty.
+
+    Products can be named there for runs that only need what stands without them, such as trends; a missing
+    catalogue is an error otherwise, so that no view is replaced by an empty one unasked.
+    """
     inputs = {}
     for name in ("users", "orders", "order_items", "products", "events"):
         schema = TABLES[name]
@@ -51,7 +57,7 @@ def read_inputs(spark: SparkSession, root: str, fmt: str = "csv") -> dict[str, D
                 return read_csv_table(spark, f"{root}/{name}.csv", schema)
             return spark.read.schema(schema).format(fmt).load(f"{root}/{name}")
 
-        table = read_or_none(read) if name == "events" else read()
+        table = read_or_none(read) if name in optional else read()
         inputs[name] = empty_table(spark, schema) if table is None else table
     return inputs
 

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.errors import AnalysisException
 
+from shoptide.operators.trending import trending_products
 from shoptide.schemas import EVENTS, ORDERS, TABLES
 from shoptide.sources.tables import read_csv_table, read_inputs, read_or_none, read_view
 from shoptide.sources.views import commit_view, merge_by_key, read_committed, read_snapshot, upsert_snapshot, write_csv, write_view
@@ -41,6 +42,17 @@ def test_only_missing_events_are_forgiven(spark, folder, tmp_path):
         read_or_none(lambda: spark.range(1).select("missing"))
 
 
+def test_products_may_be_named_optional(spark, tmp_path):
+    for name in ("users", "orders", "order_items"):
+        (tmp_path / f"{name}.csv").write_text(HEADERS[name])
+    with pytest.raises(AnalysisException):
+        read_inputs(spark, str(tmp_path))
+    inputs = read_inputs(spark, str(tmp_path), optional=("events", "products"))
+    assert inputs["products"].schema == TABLES["products"] and inputs["products"].count() == 0
+    trends = trending_products(inputs["events"], inputs["orders"], inputs["order_items"], datetime(2025, 9, 10))
+    assert [(r.product_id, r.view_growth) for r in trends.collect()] == [("p1", 0.0)]
+
+
 def test_view_round_trip(spark, tmp_path):
     view = spark.createDataFrame([("a", 1)], "k string, v int")
     write_view(view, str(tmp_path / "v"))
