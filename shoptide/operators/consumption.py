@@ -64,6 +64,26 @@ def latest_month_spending(orders: DataFrame, completed: Collection[str] = COMPLE
     )
 
 
+def _described(lines: DataFrame, products: DataFrame) -> DataFrame:
+    attributes = products.select("product_id", "product_name", "category", "price")
+    return lines.join(attributes, "product_id", "left").select(
+        "user_id",
+        "order_id",
+        "product_id",
+        F.coalesce("product_name", F.lit("unknown")).alias("product_name"),
+        F.coalesce("category", F.lit("unknown")).alias("category"),
+        F.coalesce("price", F.lit(0.0)).alias("price"),
+    )
+
+
+def in_latest_month(rows: DataFrame, months: DataFrame) -> DataFrame:
+    """Those of ``rows`` (user_id, year_month, ...) that are of their user's latest month in ``months``."""
+    latest = months.groupBy("user_id").agg(F.max("year_month").alias("year_month"))
+    # the monthly counts already tell which (user, month) is hot
+    month = ["user_id", "year_month"]
+    return spread_join(rows, latest, month, hot_keys(months, month), "left_semi")
+
+
 def latest_month_items(
     orders: DataFrame,
     order_items: DataFrame,
@@ -77,27 +97,31 @@ def latest_month_items(
     ``months`` may hand in the monthly totals if they have been computed before.
     """
     months = _by_month(orders, completed) if months is None else months
-    latest = months.groupBy("user_id").agg(F.max("year_month").alias("year_month"))
-    # the monthly counts already tell which (user, month) is hot
-    month = ["user_id", "year_month"]
-    recent = spread_join(
-        _completed(orders, completed).select("user_id", "order_id", "year_month"),
-        latest,
-        month,
-        hot_keys(months, month),
-        "left_semi",
-    )
-    line_key = ["order_id", "user_id"] if "user_id" in order_items.columns else ["order_id"]
+    recent = in_latest_month(_completed(orders, completed).select("user_id", "order_id", "year_month"), months)
+    line_key = _line_key(order_items)
     lines = order_items.select(*line_key, "product_id").join(recent.select("user_id", "order_id"), line_key)
-    attributes = products.select("product_id", "product_name", "category", "price")
-    return lines.join(attributes, "product_id", "left").select(
-        "user_id",
-        "order_id",
-        "product_id",
-        F.coalesce("product_name", F.lit("unknown")).alias("product_name"),
-        F.coalesce("category", F.lit("unknown")).alias("category"),
-        F.coalesce("price", F.lit(0.0)).alias("price"),
-    )
+    return _described(lines, products)
+
+
+def _line_key(order_items: DataFrame) -> list[str]:
+    return ["order_id", "user_id"] if "user_id" in order_items.columns else ["order_id"]
+
+
+def month_totals(orders: DataFrame, completed: Collection[str] = COMPLETED) -> DataFrame:
+    """(user_id, year_month, _spent, _paid, n): what a user's month adds to the profile. Months are independent of each other."""
+    return _by_month(orders, completed)
+
+
+def month_lines(orders: DataFrame, order_items: DataFrame, completed: Collection[str] = COMPLETED) -> DataFrame:
+    """(user_id, order_id, year_month, product_id) of the lines of completed orders."""
+    line_key = _line_key(order_items)
+    bought = _completed(orders, completed).select("user_id", "order_id", "year_month")
+    return order_items.select(*line_key, "product_id").join(bought, line_key).select("user_id", "order_id", "year_month", "product_id")
+
+
+def profile_of_months(users: DataFrame, months: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
+    """The profile from ``month_totals`` and ``month_lines`` of all months."""
+    return _profile(users, months, _described(in_latest_month(lines, months), products))
 
 
 def user_consumption_profile(
@@ -114,6 +138,10 @@ def user_consumption_profile(
     ``settle`` may materialise the monthly totals, which are far fewer than the orders and read often.
     """
     months = settle(_by_month(orders, completed))
+    return _profile(users, months, latest_month_items(orders, order_items, products, completed, months))
+
+
+def _profile(users: DataFrame, months: DataFrame, lines: DataFrame) -> DataFrame:
     spending = (
         months.groupBy("user_id")
         .agg(F.try_divide(F.sum("_spent").cast("double"), F.sum("_paid")).alias("avg_order_value"), _latest())
@@ -123,7 +151,6 @@ def user_consumption_profile(
             F.col("_latest._spent").cast("double").alias("monthly_spending"),
         )
     )
-    lines = latest_month_items(orders, order_items, products, completed, months)
     line = F.struct("product_id", "product_name", "category", "price")
     lists = lines.groupBy("user_id").agg(F.sort_array(F.collect_list(line)).alias("_lines"))
     return (

@@ -83,6 +83,48 @@ def trending_products(
     recent_orders = orders.filter(within_days(orders_as_of, F.col("order_date"), oldest))
     views = view_growth(recent_events, as_of, current, previous)
     sold = order_growth(recent_orders, order_items, orders_as_of, current, previous)
+    return scored(views, sold, as_of, weights, window_label)
+
+
+def day_views(events: DataFrame) -> DataFrame:
+    """(day, product_id, amount): views of a day."""
+    seen = events.filter(F.col("event_type") == "view")
+    return seen.groupBy(F.to_date("event_timestamp").alias("day"), "product_id").agg(F.count("*").alias("amount"))
+
+
+def day_sales(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """(day, product_id, amount): quantity ordered on a day, whatever became of the order."""
+    days = orders.select("order_id", F.to_date("order_date").alias("day"))
+    lines = order_items.select("order_id", "product_id", "quantity").join(days, "order_id")
+    return lines.groupBy("day", "product_id").agg(F.sum("quantity").alias("amount"))
+
+
+def trending_of_days(
+    views: DataFrame,
+    sales: DataFrame,
+    as_of: date | datetime,
+    weights: tuple[float, float, float, float] = TREND_WEIGHTS,
+    window_label: str = "7d",
+    current: tuple[int, int] = CURRENT,
+    previous: tuple[int, int] = PREVIOUS,
+    orders_as_of: date | datetime | None = None,
+) -> DataFrame:
+    """The trending products from ``day_views`` and ``day_sales`` of the days of both buckets."""
+
+    def grown(days: DataFrame, today: date | datetime, what: str) -> DataFrame:
+        age, now, before = days_ago(today, F.col("day")), f"current_{what}s", f"previous_{what}s"
+        amounts = days.groupBy("product_id").agg(
+            _sum_within(age, current, F.col("amount")).alias(now), _sum_within(age, previous, F.col("amount")).alias(before)
+        )
+        return amounts.withColumn(f"{what}_growth", growth(F.col(now), F.col(before)))
+
+    return scored(grown(views, as_of, "view"), grown(sales, orders_as_of or as_of, "order"), as_of, weights, window_label)
+
+
+def scored(
+    views: DataFrame, sold: DataFrame, as_of: date | datetime, weights: tuple[float, float, float, float], window_label: str
+) -> DataFrame:
+    """Products with a positive score, from the growth of their views and of their orders."""
 
     def filled(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))

@@ -14,6 +14,7 @@ from shoptide.operators.recommend import user_recommendations
 from shoptide.operators.segments import user_segments
 from shoptide.operators.similarity import product_similarity
 from shoptide.operators.trending import trending_products
+from shoptide.plans.daily import daily_profile, daily_trending, update_partials
 from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.sources.views import commit_view, committed_version, read_committed, read_snapshot, upsert_snapshot
 
@@ -33,6 +34,8 @@ def run_batch(
     as_of: date | datetime,
     options: Mapping[str, dict] | None = None,
     resume: bool = False,
+    partials: str | None = None,
+    arrivals: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Compute all six views into ``out_dir`` and return them as read back from there.
 
@@ -42,6 +45,9 @@ def run_batch(
 
     Each view is a committed version of ``as_of``: readers keep the one they opened, and a view that fails leaves its last
     version current. ``resume`` takes the views that have been committed for ``as_of`` as they are and computes the others.
+
+    ``partials`` names the stores of the daily run (``plans/daily.py``): the profile and the trends then come from them, after the periods of
+    the rows in ``arrivals`` have been recomputed. The other views have no partials and are computed from all rows.
     """
     options = options or {}
 
@@ -69,10 +75,14 @@ def run_batch(
 
     def profile() -> DataFrame:
         name = "user_consumption_profile"
+        if partials:
+            return kept(name, lambda: daily_profile(users, products, partials))
         return kept(name, lambda: user_consumption_profile(users, orders, items, products, settle=settle, **of(name)))
 
     def trending() -> DataFrame:
         name = "trending_products"
+        if partials:
+            return kept(name, lambda: daily_trending(spark, partials, as_of, **of(name)))
         return kept(name, lambda: trending_products(events, orders, items, as_of, **of(name)))
 
     def similar() -> DataFrame:
@@ -84,6 +94,8 @@ def run_batch(
         return kept(name, lambda: product_complementary(items, products, as_of=as_of, settle=settle, **of(name)))
 
     checkpoint_root(spark)
+    if partials:
+        update_partials(inputs, partials, version, arrivals, **of("user_consumption_profile"))
     by_user, profiles, trends, alike, pairs = side_by_side(segments, profile, trending, similar, together)
     name = "user_recommendations_batch"
     best = lambda: user_recommendations(profiles, trends, alike, pairs, by_user, products, as_of=as_of, **of(name))

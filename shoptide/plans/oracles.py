@@ -366,3 +366,7 @@ from trend_rows where computed_time > (select max(computed_time) - 600 from tren
     ),
     "product_counts": "select l_partkey as product_id, count(*) as count from lineitem group by all",
 }
+
+# a daily run on partials ends in what a run on everything gives
+ORACLES["daily_consumption_profile"] = ORACLES["user_consumption_profile"]
+ORACLES["daily_trending_products"] = ORACLES["trending_products"]

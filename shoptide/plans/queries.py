@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from shoptide.operators import serving as V
 from shoptide.operators import similarity as M
 from shoptide.operators import trending as T
 from shoptide.plans.batch import run_batch
+from shoptide.plans.daily import daily_profile, daily_trending, update_partials
 from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.schemas import ACTIVITY_MESSAGE
 from shoptide.sources.star import BAD, COMPLETED, EVENTS_TODAY, ORDERS_TODAY, StarTables
@@ -30,6 +32,7 @@ from shoptide.streaming.view import TTL_SECONDS, expire_realtime_view, read_real
 MIN_COUNT = 2
 
 BATCHES = 6
+LATE_DAYS = 10
 WEEK = 7 * 86_400
 SNAPSHOT_DAY = "1997-01-01"
 
@@ -85,16 +88,18 @@ def _profile(spark: SparkSession, folder: str) -> DataFrame:
     return C.user_consumption_profile(t.customers, t.orders, t.order_items, t.products, COMPLETED, settle=settle)
 
 
-def user_consumption_profile(spark: SparkSession, folder: str) -> DataFrame:
+def _with_lists_joined(profile: DataFrame) -> DataFrame:
     lists = (
         "product_ids_in_latest_month",
         "products_in_latest_month",
         "categories_in_latest_month",
         "product_prices_in_latest_month",
     )
-    return _profile(spark, folder).select(
-        "user_id", "avg_order_value", "monthly_spending", *[_joined(c) for c in lists]
-    )
+    return profile.select("user_id", "avg_order_value", "monthly_spending", *[_joined(c) for c in lists])
+
+
+def user_consumption_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_lists_joined(_profile(spark, folder))
 
 
 def view_growth(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,6 +185,36 @@ def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
     return views["user_recommendations_batch"].drop("computed_date", "segment_name")
 
 
+def _after_two_runs(spark: SparkSession, folder: str, name: str) -> tuple[StarTables, str]:
+    """The stores of the daily run after a run on what there was some days ago and one on all, told what has arrived since."""
+    t = StarTables(spark, folder)
+    store = _scratch(spark, name)
+
+    def since(day, days: int):
+        return datetime(day.year, day.month, day.day, tzinfo=timezone.utc) - timedelta(days=days)
+
+    # test orders end years before their "today", so what arrives is the last of their dates
+    first = t.orders.agg(F.max("order_date").alias("newest")).first()["newest"]
+    new_orders = F.col("order_date") >= F.lit(since(first or ORDERS_TODAY, LATE_DAYS))
+    new_events = F.col("event_timestamp") >= F.lit(since(EVENTS_TODAY, LATE_DAYS))
+    whole = {"orders": t.orders, "order_items": t.order_items, "events": t.views_only}
+    earlier = {**whole, "orders": t.orders.filter(~new_orders), "events": t.views_only.filter(~new_events)}
+    update_partials(earlier, store, 1, completed=COMPLETED)
+    arrivals = {"orders": t.orders.filter(new_orders), "events": t.views_only.filter(new_events)}
+    update_partials(whole, store, 2, arrivals, COMPLETED)
+    return t, store
+
+
+def daily_consumption_profile(spark: SparkSession, folder: str) -> DataFrame:
+    t, store = _after_two_runs(spark, folder, "daily-profile")
+    return _with_lists_joined(daily_profile(t.customers, t.products, store))
+
+
+def daily_trending_products(spark: SparkSession, folder: str) -> DataFrame:
+    _, store = _after_two_runs(spark, folder, "daily-trends")
+    return daily_trending(spark, store, EVENTS_TODAY, orders_as_of=ORDERS_TODAY)
+
+
 def activity_events(spark: SparkSession, folder: str) -> DataFrame:
     moment = F.unix_micros("event_timestamp").alias("event_micros")
     return parse_activity_events(StarTables(spark, folder).messages).select(
@@ -349,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "score_candidates": score_candidates,
     "user_recommendations": user_recommendations,
     "run_batch": batch_chain,
+    "daily_consumption_profile": daily_consumption_profile,
+    "daily_trending_products": daily_trending_products,
     "parse_activity_events": activity_events,
     "sliding_user_interest": sliding_user_interest,
     "realtime_trend_score": realtime_trend_score,

@@ -2,7 +2,10 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from shoptide.operators.consumption import user_consumption_profile
+from shoptide.operators.trending import trending_products
 from shoptide.plans.batch import VIEWS, run_batch
+from shoptide.plans.daily import update_partials
 from shoptide.sources.star import BAD, COMPLETED, EVENTS_TODAY, ORDERS_TODAY, StarTables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -61,3 +64,20 @@ def test_a_failed_run_is_resumed(spark, tmp_path, monkeypatch):
     views = run_batch(inputs, str(tmp_path), as_of, options, resume=True)
     assert views["user_recommendations_batch"].count() > 0
     assert written < {p for p in tmp_path.glob("*/v*") if p.is_dir()}
+
+
+def test_chain_on_partials_equals_the_chain_on_everything(spark, tmp_path):
+    t = StarTables(spark, FOLDER)
+    inputs = {"users": t.users, "orders": t.orders, "order_items": t.order_items, "products": t.products, "events": t.events}
+    options = {"user_segments": {"completed": COMPLETED, "bad": BAD, "partitions": 4}, "user_consumption_profile": {"completed": COMPLETED}, "trending_products": {"orders_as_of": ORDERS_TODAY}}
+    as_of = datetime(EVENTS_TODAY.year, EVENTS_TODAY.month, EVENTS_TODAY.day)
+    store = str(tmp_path / "partials")
+    late = F.col("order_date") >= F.lit(datetime(1997, 1, 1))
+    earlier = {**inputs, "orders": inputs["orders"].filter(~late)}
+    update_partials(earlier, store, 1, completed=COMPLETED)
+    found = run_batch(inputs, str(tmp_path / "daily"), as_of, options, partials=store, arrivals={"orders": inputs["orders"].filter(late)})
+    profile = user_consumption_profile(t.users, t.orders, t.order_items, t.products, COMPLETED)
+    trends = trending_products(t.events, t.orders, t.order_items, as_of, orders_as_of=ORDERS_TODAY)
+    for got, wanted in ((found["user_consumption_profile"], profile), (found["trending_products"], trends)):
+        assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    assert found["user_recommendations_batch"].count() > 0
