@@ -21,6 +21,7 @@ from shoptide.sources.commits import Commits
 UNDATED = "none"
 DAY, MONTH = "yyyy-MM-dd", "yyyy-MM"
 FILES = 32  # a period's rows are dealt to that many tasks, so a large one is not written by one
+RANGES = 64  # of a condition on dates
 _SLICE = "slice"
 
 
@@ -30,30 +31,35 @@ def period_of(moment: Column, period: str) -> Column:
 
 
 def within_periods(moment: Column, names: Collection[str] | None) -> Column:
-    """True for moments in the named periods; all of them for None. Neighbouring periods make one range on the
-    plain column, so that the condition reaches the scan."""
+    """True for moments in the named periods, and for all of them for None. Neighbouring periods make one range on the
+    plain column, so that the condition reaches the scan. It limits what is read: of many scattered periods, those with the
+    smallest gaps between them share a range, gaps included, so that there are at most ``RANGES``."""
     if names is None:
         return F.lit(True)
-    ranges: list[tuple[str, str]] = []
+    ranges: list[list[date]] = []
     for name in sorted(set(names) - {UNDATED}):
-        start = name if len(name) > len("yyyy-mm") else f"{name}-01"
-        end = _next(name)
-        if ranges and ranges[-1][1] == start:
-            ranges[-1] = (ranges[-1][0], end)
+        start, end = _days(name)
+        if ranges and ranges[-1][1] >= start:
+            ranges[-1][1] = max(ranges[-1][1], end)
         else:
-            ranges.append((start, end))
+            ranges.append([start, end])
+    gaps = sorted(range(1, len(ranges)), key=lambda k: ranges[k][0] - ranges[k - 1][1], reverse=True)
+    cuts = [0, *sorted(gaps[: RANGES - 1]), len(ranges)]
     found = moment.isNull() if UNDATED in names else F.lit(False)
-    for start, end in ranges:
-        found = found | ((moment >= F.lit(start).cast("timestamp")) & (moment < F.lit(end).cast("timestamp")))
+    for k, upto in zip(cuts, cuts[1:]):
+        if k < upto:
+            start, end = (F.lit(str(day)).cast("timestamp") for day in (ranges[k][0], ranges[upto - 1][1]))
+            found = found | ((moment >= start) & (moment < end))
     return found
 
 
-def _next(name: str) -> str:
-    """The first day after a period."""
+def _days(name: str) -> tuple[date, date]:
+    """The first day of a period and the first one after it."""
     if len(name) > len("yyyy-mm"):
-        return (date.fromisoformat(name) + timedelta(days=1)).isoformat()
+        first = date.fromisoformat(name)
+        return first, first + timedelta(days=1)
     year, month = (int(x) for x in name.split("-"))
-    return f"{year + month // 12:04d}-{month % 12 + 1:02d}-01"
+    return date(year, month, 1), date(year + month // 12, month % 12 + 1, 1)
 
 
 def periods_in(moments: DataFrame, period: str) -> list[str]:

@@ -160,3 +160,18 @@ def test_only_changed_periods_are_scanned(spark, tmp_path):
     assert pushed.count("GreaterThanOrEqual") == 3
     assert chosen.count() == 1
     assert orders.filter(within_periods(F.col("order_date"), [UNDATED])).count() == 0
+
+
+def test_many_scattered_periods_make_few_ranges(spark):
+    from pyspark.sql import functions as F
+
+    first = date(2001, 1, 1)
+    names = [(first + timedelta(days=k * k)).isoformat() for k in range(100)]
+    days = spark.range(99 * 99 + 1).select(F.timestamp_add("DAY", F.col("id").cast("int"), F.lit(datetime(2001, 1, 1))).alias("moment"))
+    chosen = days.filter(within_periods(F.col("moment"), names))
+    found = {row[0] for row in chosen.select(F.date_format("moment", "yyyy-MM-dd")).collect()}
+    assert set(names) <= found
+    # the 37 early days, which stand closest, share a range
+    assert len(found) == 63 + 36 * 36 + 1
+    assert days.filter(within_periods(F.col("moment"), [])).count() == 0
+    assert days.filter(within_periods(F.col("moment"), ["2001-12"])).count() == 31
