@@ -33,7 +33,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +43,7 @@ from shoptide.llm.words import UNSPACED, WORDS, mixed, small_batches, words_of
 
 SHINGLE = 5
 PERCENT = 80
-TREES = 16
+TREES = 16  # a power of two
 DEPTH = 3
 LABEL = 5
 HASHES = 128
@@ -115,8 +115,37 @@ def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
     return rows.mapInArrow(work, schema)
 
 
+def regions(signs: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """The region of each signature in each tree; its last bits name the tree, so regions of different trees are never equal."""
+    for tree, own in enumerate(tree_hashes(order)):
+        region = np.full(len(signs), tree + 1, np.uint64)
+        for j in own[:DEPTH]:
+            region = mixed(region * np.uint64(0x9E3779B97F4A7C15) + signs[:, j])
+        yield ((region & ~np.uint64(TREES - 1)) | np.uint64(tree)).view(np.int64)
+
+
+def crowded(classes: DataFrame, order: int) -> DataFrame:
+    """(class, trees): the trees, a bit each, in which a class shares its region. In the others it has no neighbour, and most classes have
+    none in any, so these small rows spare most of the forest's."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                some = batch.slice(at, 2048)
+                signs = np.frombuffer(b"".join(some.column("minima").to_pylist()), "<u2").reshape(-1, HASHES)
+                for region in regions(signs, order):
+                    yield pa.RecordBatch.from_arrays([pa.array(region), some.column("class")], ["region", "class"])
+
+    places = classes.select("class", "minima").mapInArrow(work, "region long, class long")
+    # the neighbours in the order of a region tell whether there are any, without its size
+    along = Window.partitionBy("region").orderBy("class")
+    beside = F.coalesce(F.lag("class").over(along), F.lead("class").over(along))
+    shared = places.withColumn("beside", beside).filter("beside is not null")
+    return shared.groupBy("class").agg(F.bit_or(F.expr(f"shiftleft(1, cast(region & {TREES - 1} as int))")).alias("trees"))
+
+
 def forest(classes: DataFrame, order: int) -> DataFrame:
-    """A row per class and tree: (region, label, class, root, sign), regions of different trees never equal. The sign is what windows
+    """A row per class and tree in which it has neighbours: (region, label, class, root, sign). The sign is what windows
     compare: 4 bits of each minimum, two to a byte."""
     hashes = tree_hashes(order)
     schema = "region long, label binary, class long, root long, sign binary"
@@ -127,17 +156,15 @@ def forest(classes: DataFrame, order: int) -> DataFrame:
                 some = batch.slice(at, 2048)
                 signs = np.frombuffer(b"".join(some.column("minima").to_pylist()), "<u2").reshape(-1, HASHES)
                 small = np.ascontiguousarray(signs.astype(np.uint8))
-                names, roots = some.column("class").to_numpy(), some.column("root").to_numpy()
+                names, roots, trees = some.column("class").to_numpy(), some.column("root").to_numpy(), some.column("trees").to_numpy()
                 short = pa.array([x.tobytes() for x in (small[:, ::2] & 15) | (small[:, 1::2] << 4)], pa.binary())
-                for tree, own in enumerate(hashes):
-                    region = np.full(len(signs), tree + 1, np.uint64)
-                    for j in own[:DEPTH]:
-                        region = mixed(region * np.uint64(0x9E3779B97F4A7C15) + signs[:, j])
-                    labels = np.ascontiguousarray(small[:, own[DEPTH:]])
-                    columns = [pa.array(region.view(np.int64)), pa.array([x.tobytes() for x in labels], pa.binary()), pa.array(names), pa.array(roots), short]
+                for tree, region in enumerate(regions(signs, order)):
+                    held = np.flatnonzero(trees >> tree & 1)
+                    labels = np.ascontiguousarray(small[held][:, hashes[tree, DEPTH:]])
+                    columns = [pa.array(region[held]), pa.array([x.tobytes() for x in labels], pa.binary()), pa.array(names[held]), pa.array(roots[held]), short.take(pa.array(held))]
                     yield pa.RecordBatch.from_arrays(columns, ["region", "label", "class", "root", "sign"])
 
-    return classes.select("class", "root", "minima").mapInArrow(work, schema)
+    return classes.join(crowded(classes, order), "class").select("class", "root", "minima", "trees").mapInArrow(work, schema)
 
 
 def unpacked(signs: np.ndarray) -> np.ndarray:
