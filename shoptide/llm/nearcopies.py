@@ -14,8 +14,9 @@
 5. Further rounds propose across the components found so far, with other orders and again the best partners, now of
    other components only, until a round links nothing new.
 6. What the forest did not show is found by an exact join, so nothing above decides on the result. Shingles have one order, the
-   seldom ones first. Two sets that are similar enough have their first common shingle early in both (the prefix filter), where
-   enough of both is left behind it. Classes of different components that share a shingle at such places are confirmed on full sets.
+   seldom ones first. Two sets that are similar enough have a common shingle early in both (the prefix filter). Shingles that two classes
+   of different components share there are counted; with what is left behind the prefixes they bound what the sets can share,
+   and the few pairs whose bound reaches the threshold are confirmed on full sets.
    The forest's components keep copies of one text from meeting pair by pair, and members of a template family meet
    at the template's shingles only if they differ in few others.
 
@@ -330,14 +331,12 @@ def prefixes(docs: DataFrame, size: int, percent: int, text: str) -> DataFrame:
 def meeting(docs: DataFrame, roots: DataFrame, size: int, percent: int, text: str) -> DataFrame:
     """Pairs of classes (a, b), a < b, of different components that may be links: all there are, by the prefix filter."""
     held = prefixes(docs, size, percent, text).join(roots, "class")
-    rows = held.select("class", "root", "n", F.posexplode("shingles").alias("place", "shingle"))
-    # these rows are most of what is shuffled: size and place go as one number
-    ordered = rows.select("shingle", "root", "class", (F.shiftleft("n", 32) + F.col("place")).alias("size_place")).repartition("shingle").sortWithinPartitions("shingle", "root")
+    rows = held.select(F.explode("shingles").alias("shingle"), "root", "class", "n")
+    ordered = rows.repartition("shingle").sortWithinPartitions("shingle", "root")
 
-    def pairs_of(shingle: np.ndarray, root: np.ndarray, names: np.ndarray, size_place: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def pairs_of(shingle: np.ndarray, root: np.ndarray, names: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(shingle):
             return
-        n, place = size_place >> 32, size_place & 0xFFFFFFFF
         same = np.diff(shingle) == 0
         ends = np.append(np.flatnonzero(~same) + 1, len(shingle))
         runs = np.append(np.flatnonzero(~same | (np.diff(root) != 0)) + 1, len(shingle))
@@ -349,12 +348,20 @@ def meeting(docs: DataFrame, roots: DataFrame, size: int, percent: int, text: st
             k = np.arange(low, min(low + PAIRS, int(upto[-1])))
             i = np.searchsorted(upto, k, "right") - 1
             j = start[i] + k - upto[i]
-            left = np.minimum(n[i] - place[i], n[j] - place[j])
-            good = (100 + percent) * left >= percent * (n[i] + n[j])
-            a, b = names[i[good]], names[j[good]]
-            found = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-            if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            # sizes that differ too much rule a pair out; places do not yet, as every shingle in common counts
+            good = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[good], j[good]
+            swap = names[i] > names[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            order = np.lexsort((names[j], names[i]))
+            i, j = i[order], j[order]
+            new = np.ones(len(i), bool)
+            new[1:] = (np.diff(names[i]) != 0) | (np.diff(names[j]) != 0)
+            at_new = np.flatnonzero(new)
+            if len(at_new):
+                common = np.diff(np.append(at_new, len(i)))
+                made = [names[i[at_new]], names[j[at_new]], n[i[at_new]], n[j[at_new]], common]
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in made], ["a", "b", "n_a", "n_b", "common"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[list[np.ndarray]] = []  # rows of the last shingle, which may go on
@@ -371,7 +378,12 @@ def meeting(docs: DataFrame, roots: DataFrame, size: int, percent: int, text: st
         if waiting:
             yield from pairs_of(*(np.concatenate([w[k] for w in waiting]) for k in range(4)))
 
-    return ordered.mapInArrow(work, "a long, b long").distinct()
+    met = ordered.mapInArrow(work, "a long, b long, n_a long, n_b long, common long")
+    shared = met.groupBy("a", "b").agg(F.sum("common").alias("common"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    # Of two sets, that whose prefix ends first has all that it shares up to there in both prefixes; the rest of it is what else it may share.
+    rest = [F.expr(f"({percent} * {n} + 99) div 100 - 1") for n in ("n_a", "n_b")]
+    most = F.col("common") + F.greatest(*rest, F.lit(0))
+    return shared.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def near_duplicates(
