@@ -20,7 +20,6 @@ from shoptide.sources.commits import Commits
 
 UNDATED = "none"
 DAY, MONTH = "yyyy-MM-dd", "yyyy-MM"
-FILES = 32  # a period's rows are dealt to that many tasks, so a large one is not written by one
 RANGES = 64  # of a condition on dates
 _SLICE = "slice"
 
@@ -81,7 +80,7 @@ def refresh(
     """Put the rows of ``compute()``, whose column ``period`` names their period, in place of what is kept of ``names`` (of all for None).
 
     A named period without rows is kept no longer. Rows of other periods than those named are not taken. ``key`` is the column by which
-    a period's rows are dealt to files. Nothing is read or written if no period is named.
+    a file's rows are sorted. Nothing is read or written if no period is named.
     """
     commits = Commits(spark, location)
     latest = commits.latest()
@@ -93,7 +92,8 @@ def refresh(
     if names is not None:
         rows = rows.filter(F.col(period).isin(*names) if names else F.lit(False))
     folder = f"p{version}-{uuid.uuid4().hex}"
-    dealt = rows.withColumn(_SLICE, F.col(period)).repartition(F.col(period), F.pmod(F.xxhash64(key), F.lit(FILES)))
+    # one file for a small period; adaptive execution cuts a large one by size, so that it is not written by one task
+    dealt = rows.withColumn(_SLICE, F.col(period)).hint("rebalance", _SLICE)
     dealt.sortWithinPartitions(_SLICE, key).write.partitionBy(_SLICE).parquet(f"{commits.location}/{folder}")
     written = {part.split("=", 1)[1]: f"{folder}/{part}" for part in commits.folders(folder)}
     held = {name: path for name, path in held.items() if name not in names} if names is not None else {}
