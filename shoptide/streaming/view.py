@@ -32,6 +32,8 @@ TTL_SECONDS = 600
 SLICE_SECONDS = 3_600
 FAN_IN = 8
 KEEP = 10
+# what a task of the write holds: whichever of the two is reached first
+TASK_ROWS, TASK_SLICES = 200_000, 16
 STORED = StructType([*REALTIME_VIEW.fields, StructField(_BATCH, LongType())])
 
 
@@ -78,10 +80,20 @@ def _unexpired(rows: DataFrame, expired: int | None) -> DataFrame:
 
 
 def _write_slices(commits: Commits, rows: DataFrame, name: str, width: int, level: int) -> list[dict]:
-    """The folders written: a slice holds the windows that end after its begin and up to its end."""
+    """The folders written: a slice holds the windows that end after its begin and up to its end.
+
+    Every task of a batch holds rows of every slice, so written as they come they would make a file for each task and slice. They are
+    written flat first, which a failure leaves to ``prune``, and then by ranges of the slices: about a file for each slice, and for each task of a large one.
+    """
     name = f"{name}-{uuid.uuid4().hex}"
     sliced = rows.withColumn(_SLICE, F.floor((F.col("computed_time") - 1) / width))
-    sliced.write.partitionBy(_SLICE).parquet(f"{commits.location}/{name}")
+    sliced.write.parquet(f"{commits.location}/flat-{name}")
+    flat = rows.sparkSession.read.schema(sliced.schema).parquet(f"{commits.location}/flat-{name}")
+    size = flat.agg(F.count("*").alias("rows"), F.approx_count_distinct(_SLICE).alias("slices")).first()
+    tasks = max(1, -(-size["rows"] // TASK_ROWS), -(-size["slices"] // TASK_SLICES))
+    ranges = flat.repartitionByRange(tasks, _SLICE, "computed_time", "user_id", "product_id")
+    ranges.write.partitionBy(_SLICE).parquet(f"{commits.location}/{name}")
+    commits.remove(f"flat-{name}")
     parts = commits.folders(name)
     return [{"path": f"{name}/{part}", "slice": int(part.split("=")[1]), "level": level} for part in parts]
 

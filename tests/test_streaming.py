@@ -230,6 +230,19 @@ def test_a_crash_leaves_the_last_state(spark, tmp_path, monkeypatch):
     assert not left & {p.name for p in tmp_path.iterdir()}  # the failed attempt's folder is gone
 
 
+def test_files_grow_with_the_slices_not_with_tasks_times_slices(spark, tmp_path):
+    target = tmp_path / "view"
+    rows = [(f"u{i}", "p", "n", "c", 1, 0, 0, 0.2, 3600 * (i % 40) + 60) for i in range(640)]
+    for batch_id in range(2):  # the second batch merges the slices
+        batch = spark.createDataFrame(rows, REALTIME_VIEW).repartition(8, "user_id")
+        upsert_realtime_view(batch, batch_id, str(target), fan_in=2)
+    written = [p for p in target.rglob("*.parquet") if "flat-" not in str(p)]
+    assert {p.parts[-3].split("-")[0] for p in written} == {"batch", "merged"}
+    assert len(written) <= 3 * 50
+    assert not list(target.glob("flat-*"))
+    assert read_windows(spark, str(target)).count() == 640
+
+
 def test_one_of_two_writers_of_a_version_fails(spark, tmp_path):
     log = Commits(spark, str(tmp_path))
     log.commit(1, {"a": 1})
