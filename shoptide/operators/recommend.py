@@ -17,6 +17,8 @@ from shoptide.functions.clock import instant
 from shoptide.functions.scoring import BLEND_WEIGHTS, OTHER_PRIORITY, TYPE_PRIORITY, final_score, priority_of
 from shoptide.functions.spread import FAN_OUT_ROWS, count_keys, hot_keys, spread_join
 
+_MANY = "_many_products"
+
 
 def top_trending(trending: DataFrame, n: int = 10) -> DataFrame:
     """The ids of the ``n`` best trending products, best first."""
@@ -110,6 +112,17 @@ def score_candidates(
     )
 
 
+def _gathered(base: DataFrame, offers: DataFrame, hot: DataFrame, key: list[str]) -> DataFrame:
+    """The offers to each user (``key``, type, final_score), a user's in one partition. Users of so many products that their offers are too
+    many for a task are brought down to a row per product and type before, in many tasks; a maximum of maxima is the same."""
+
+    def offered(of: DataFrame) -> DataFrame:
+        return spread_join(of, offers, ["source_id"], hot, fans_out=True).select(*key, "type", "final_score")
+
+    reduced = offered(base.filter(_MANY)).groupBy(*key, "type").agg(F.max("final_score").alias("final_score"))
+    return offered(base.filter(~F.col(_MANY))).unionByName(reduced).repartition("user_id")
+
+
 def user_recommendations(
     profile: DataFrame,
     trending: DataFrame,
@@ -122,13 +135,19 @@ def user_recommendations(
     weights: tuple[float, float] = BLEND_WEIGHTS,
     priority: Mapping[str, float] = TYPE_PRIORITY,
     other: float = OTHER_PRIORITY,
+    by_user: bool = False,
 ) -> DataFrame:
-    """The recommendation view, one row per user and recommended product, no limit per user."""
+    """The recommendation view, one row per user and recommended product, no limit per user.
+
+    ``by_user`` keeps a user's rows in one partition, for who ranks or groups them by user next: the big shuffle is then the only one.
+    """
     # segment on the user's row, before it fans out
     known = profile.join(segments.select("user_id", "segment_name"), "user_id", "left")
-    base = consumption_base(known, top_trending(trending, n_fallback), "segment_name").withColumnRenamed(
-        "product_id", "source_id"
-    )
+    extra = ["segment_name"]
+    if by_user:
+        known = known.withColumn(_MANY, F.coalesce(F.size("product_ids_in_latest_month") > FAN_OUT_ROWS, F.lit(False)))
+        extra.append(_MANY)
+    base = consumption_base(known, top_trending(trending, n_fallback), *extra).withColumnRenamed("product_id", "source_id")
     per_source = count_keys(base, ["source_id"])
 
     # what is known of a product, on one row
@@ -162,9 +181,10 @@ def user_recommendations(
     ]
     if as_of is not None:
         columns.append(instant(as_of).alias("computed_date"))
-    return (
-        spread_join(base, offers, ["source_id"], _hot_sources(per_source), fans_out=True)
-        .groupBy("user_id", "segment_name", "product_id", "product_name", "category")
-        .agg(*best_of.values(), place_of_unscored)
-        .select(*columns)
-    )
+    hot = _hot_sources(per_source)
+    key = ["user_id", "segment_name", "product_id", "product_name", "category"]
+    if by_user:
+        rows = _gathered(base, offers, hot, key)
+    else:
+        rows = spread_join(base, offers, ["source_id"], hot, fans_out=True)
+    return rows.groupBy(*key).agg(*best_of.values(), place_of_unscored).select(*columns)

@@ -157,12 +157,12 @@ def score_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return R.score_candidates(*_settled(spark, folder, rec_candidates, trending_products))
 
 
-def user_recommendations(spark: SparkSession, folder: str) -> DataFrame:
+def user_recommendations(spark: SparkSession, folder: str, by_user: bool = False) -> DataFrame:
     """The recommendation view over the other views, each computed once."""
     views = _settled(
         spark, folder, _profile, trending_products, product_similarity, product_complementary, label_segments
     )
-    return R.user_recommendations(*views, StarTables(spark, folder).products)
+    return R.user_recommendations(*views, StarTables(spark, folder).products, by_user=by_user)
 
 
 def batch_chain(spark: SparkSession, folder: str) -> DataFrame:
@@ -325,7 +325,7 @@ def serve_realtime_recommendations(spark: SparkSession, folder: str) -> DataFram
 
 
 def serve_batch_recommendations(spark: SparkSession, folder: str) -> DataFrame:
-    served = V.serve_batch_recommendations(user_recommendations(spark, folder))
+    served = V.serve_batch_recommendations(user_recommendations(spark, folder, by_user=True))
 
     def told(entry):
         return F.concat_ws(

@@ -9,6 +9,7 @@ from shoptide.operators.recommend import (
     top_trending,
     user_recommendations,
 )
+from shoptide.operators.serving import serve_batch_recommendations
 
 PROFILE = "user_id string, product_ids_in_latest_month array<string>"
 TRENDING = "product_id string, trend_score double"
@@ -126,3 +127,19 @@ def test_types_without_a_priority_of_their_own(spark):
     )
     scores = {r["product_id"]: r["recommendation_score"] for r in view.collect()}
     assert scores == {"A": 0.15, "B": 0.45, "C": 0.15}
+
+
+def test_a_users_rows_stay_together_for_serving(spark, monkeypatch):
+    """Ranking and pages need no shuffle of their own, and users of many products come out the same."""
+    similar = [(f"P{i}", f"P{(i + k) % 30}", 1.0 / k) for i in range(30) for k in range(1, 6)] + [("P1", "Q", None)]
+    profile = [("many", [f"P{i}" for i in range(30)]), ("few", ["P1", "P2"]), ("none", None)]
+    shop = Shop(spark, profile, [("P3", 9.0)], similar, [("P1", "P2", 2.0)], [("few", "Loyal")], [("P2", "p2", "Toys")])
+    monkeypatch.setattr(module, "FAN_OUT_ROWS", 10)
+    frames = shop.profile, shop.trending, shop.similar, shop.together, shop.segments, shop.products
+    together = user_recommendations(*frames, by_user=True)
+    assert sorted(map(str, together.collect())) == sorted(map(str, shop.view().collect()))
+    served = serve_batch_recommendations(together)
+    plan = served._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "Exchange" not in plan[: plan.index("REPARTITION_BY_COL")].replace("Exchange hashpartitioning(user_id", "", 1)
+    ranked = {r["user_id"]: [e["product_id"] for e in r["recommendations"]] for r in served.collect()}
+    assert ranked == {r["user_id"]: [e["product_id"] for e in r["recommendations"]] for r in serve_batch_recommendations(shop.view()).collect()}
