@@ -15,7 +15,8 @@
    other components only, until a round links nothing new.
 6. What the forest did not show is found by an exact join, so nothing above decides on the result. Shingles have one order, the
    seldom ones first. Two sets that are similar enough have their first common shingle early in both (the prefix filter), where
-   enough of both is left behind it. Classes of different components that share a shingle at such places are confirmed on full sets.
+   enough of both is left behind it. Classes of different components that share a shingle at such places are compared by counts of
+   their shingles in buckets, which bound what they have in common, and then confirmed on full sets.
    The forest's components keep copies of one text from meeting pair by pair, and members of a template family meet
    at the template's shingles only if they differ in few others.
 
@@ -238,8 +239,27 @@ def candidates(rows: DataFrame, least: float) -> DataFrame:
     return ordered.mapInArrow(work, "a long, b long").distinct()
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(class, shingles) of the classes, from the texts of the documents ``ids`` that stand for them."""
+def sketch(hashes: np.ndarray) -> bytes | None:
+    """How many of a set's shingles fall in each of some buckets, a byte each and half as many as shingles or more; None if a byte is too small.
+    Sketches of different lengths compare after folding the longer one."""
+    m = max(64, 1 << (len(hashes) // 2).bit_length())
+    held = np.bincount((mixed(hashes) & np.uint64(m - 1)).astype(np.int64), minlength=m)
+    return held.astype(np.uint8).tobytes() if held.max() < 256 else None
+
+
+def may_link(x: bytes | None, y: bytes | None, percent: int) -> bool:
+    """False only where the sketches show that the sets are not similar enough: no bucket holds more common shingles than the smaller count."""
+    if x is None or y is None:
+        return True
+    u, v = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    m = min(len(u), len(v))
+    u, v = u.reshape(-1, m).sum(0), v.reshape(-1, m).sum(0)
+    common = int(np.minimum(u, v).sum())
+    return 100 * common >= percent * (int(u.sum()) + int(v.sum()) - common)
+
+
+def full_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, size: int, doc_id: str, text: str, sketched: bool = False) -> DataFrame:
+    """(class, shingles) of the classes, from the texts of the documents ``ids`` that stand for them; or (class, sketch)."""
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     rows = rows.join(ids, rows["id"].eqNullSafe(ids["own"]), "left_semi")
 
@@ -247,13 +267,32 @@ def full_sets(docs: DataFrame, ids: DataFrame, classes: DataFrame, size: int, do
         for batch in batches:
             for some in small_batches(batch, "text"):
                 hashes, first = shingle_sets(some.column("text"), size)
-                sets = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(sums(hashes, first, 1)), sets], ["class", "shingles"])
-
-    sets = rows.select("text").mapInArrow(work, "class long, shingles array<long>")
+                if sketched:
+                    made = pa.array([sketch(hashes[i:j]) for i, j in zip(first, first[1:])], pa.binary())
+                else:
+                    made = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(sums(hashes, first, 1)), made], names)
+
+    names, kind = (["class", "sketch"], "binary") if sketched else (["class", "shingles"], "array<long>")
+    sets = rows.select("text").mapInArrow(work, f"class long, {names[1]} {kind}")
     return sets.join(classes, "class", "left_semi").dropDuplicates(["class"])
 
 
+def screened(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their sketches do not rule out. A sketch is an eighth of a set or less, so most of what is not similar is told apart
+    without moving sets."""
+    first = sketches.select(F.col("class").alias("a"), F.col("sketch").alias("x"))
+    second = sketches.select(F.col("class").alias("b"), F.col("sketch").alias("y"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            yield batch.select(["a", "b"]).filter(pa.array([may_link(x, y, percent) for x, y in both], pa.bool_()))
+
+    both = pairs.join(first, "a").join(second, "b")
+    return both.select("a", "b", "x", "y").mapInArrow(work, "a long, b long")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     first = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
@@ -390,10 +429,13 @@ def near_duplicates(
     nodes = classes.withColumn("root", F.col("class"))
     links, tested, mapping = None, None, None
 
-    def confirm(pairs: DataFrame) -> DataFrame:
+    def sets_of(pairs: DataFrame, sketched: bool = False) -> DataFrame:
         active = settle(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "active")
         ids = settle(classes.join(active, "class").select("own"), "ids")
-        return settle(confirmed(pairs, full_sets(docs, ids, active, size, doc_id, text), percent), "found")
+        return full_sets(docs, ids, active, size, doc_id, text, sketched)
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        return settle(confirmed(pairs, sets_of(pairs), percent), "found")
 
     for order in count():  # ends: every further round joins components
         pairs = candidates(forest(nodes, order), least)
@@ -415,7 +457,9 @@ def near_duplicates(
         roots = roots.withColumn("root", F.col("class"))
     else:
         roots = roots.join(mapping.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    found = confirm(settle(meeting(docs, roots, size, percent, text).join(tested, ["a", "b"], "left_anti"), "pairs"))
+    met = settle(meeting(docs, roots, size, percent, text).join(tested, ["a", "b"], "left_anti"), "pairs")
+    # nearly none of these is a link, and they grow faster than the classes
+    found = confirm(settle(screened(met, sets_of(met, sketched=True), percent), "pairs"))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         mapping = settle(components(links), "components")

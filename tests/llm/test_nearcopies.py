@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+
+from shoptide.llm import nearcopies
 from shoptide.llm.components import components
 from shoptide.llm.nearcopies import drop_near_duplicates, near_duplicates
 from shoptide.llm.queries import QUERIES
@@ -93,3 +96,23 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (7, 3)], "a long, b long")
     found = {r.node: r.root for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_sketches_rule_out_no_link():
+    rng = np.random.default_rng(5)
+    told_apart = 0
+    for size in (1, 7, 60, 900, 5000):
+        for share in (0.0, 0.5, 0.85, 0.889, 0.9, 1.0):
+            u = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            common = u[: round(share * len(u))]
+            v = np.unique(np.concatenate((common, rng.integers(0, 1 << 63, len(u) - len(common), dtype=np.uint64))))
+            exact = 100 * len(np.intersect1d(u, v)) >= 80 * len(np.union1d(u, v))
+            kept = nearcopies.may_link(nearcopies.sketch(u), nearcopies.sketch(v), 80)
+            assert kept or not exact
+            told_apart += not kept
+    assert told_apart >= 9
+    short, long = np.arange(100, dtype=np.uint64), np.arange(125, dtype=np.uint64)  # exactly at the threshold
+    assert nearcopies.may_link(nearcopies.sketch(short), nearcopies.sketch(long), 80)
+    fold = np.arange(250, dtype=np.uint64), np.arange(260, dtype=np.uint64)
+    assert len(nearcopies.sketch(fold[0])) != len(nearcopies.sketch(fold[1])) and nearcopies.may_link(*map(nearcopies.sketch, fold), 80)
+    assert nearcopies.may_link(None, nearcopies.sketch(short), 80)
