@@ -5,10 +5,10 @@ One set of weights serves all grades: with a text's score s (the sum of the weig
 A text's features are its different words, the beginnings of its words (inflected languages vary the ends), and which of
 these it holds at least twice.
 
-Fit. A bounded sample of the labelled documents - ``sample`` labels in a hash order of their ids - goes to the driver as
-feature hashes. They are screened by how differently often the documents of grade 0 and of higher grades have
-them, and the weights are found by proximal gradient steps, whose L1 penalty leaves features without influence at zero. So
-a long clean text does not add up noise.
+Fit. The features of a bounded sample of the labelled documents - ``sample`` labels in a hash order of their ids - are counted by
+aggregates and screened by how differently often the documents of grade 0 and of higher grades have them. Only which of the sample hold the
+``most`` screened ones goes to the driver, however long the texts are. There the weights are found by proximal gradient steps,
+whose L1 penalty leaves features without influence at zero. So a long clean text does not add up noise.
 
 Scoring. The few weighted features are broadcast as sorted 64-bit hashes (no buckets, so rare words do not fall on
 toxic ones); each task looks the words of its whole texts up. Nothing is shuffled.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptide.llm.arrow import add_columns
+from shoptide.llm.shared import settle
 from shoptide.llm.words import Words, prefix_hashes, small_batches, words_of
 
 SAMPLE = 4_000
@@ -152,13 +153,9 @@ def feature_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([some.column("id"), some.column("grade"), *lists], ["id", "grade", "words", "twice"])
 
 
-def spread_grades(hashes: np.ndarray, rows: np.ndarray, twice: np.ndarray, toxic: np.ndarray, levels: int) -> np.ndarray:
-    """Grades of documents that are only known to be toxic or not: the toxic ones in ``levels`` equal parts by how many
-    marked features they hold, those that nearly only toxic documents have."""
-    words, at = np.unique(hashes, return_inverse=True)
-    holding, bad = np.bincount(at, minlength=len(words)), np.bincount(at, toxic[rows] > 0, minlength=len(words))
-    marked = (holding >= 5) & (bad >= 0.9 * holding)
-    marks = np.bincount(rows, marked[at] * (1 + twice), minlength=len(toxic))
+def spread_grades(marks: np.ndarray, toxic: np.ndarray, levels: int) -> np.ndarray:
+    """Grades of documents that are only known to be toxic or not: the toxic ones in ``levels`` equal parts by their marks,
+    how many features they hold that nearly only toxic documents have."""
     order = np.flatnonzero(toxic > 0)
     order = order[np.argsort(marks[order], kind="stable")]
     grades = np.zeros(len(toxic), dtype=np.int64)
@@ -175,6 +172,29 @@ def best_cut(chances: np.ndarray, toxic: np.ndarray) -> float:
     return float(np.median(cuts[np.array(f1) >= max(f1) - 1e-12]))
 
 
+def feature_counts(pairs: DataFrame) -> DataFrame:
+    """(word, n and bad) over pairs (word, twice, grade, held): how many documents hold a feature, and how many of these are of grade 1 or
+    more; the same as known_n and known_bad without the held-out documents, and as twice_n and twice_bad where they hold it twice."""
+    counts = []
+    for name, those in (("", F.lit(True)), ("known_", ~F.col("held")), ("twice_", ~F.col("held") & F.col("twice"))):
+        counts += [F.count_if(those).alias(f"{name}n"), F.count_if(those & (F.col("grade") > 0)).alias(f"{name}bad")]
+    return pairs.groupBy("word").agg(*counts).filter(F.col("n") >= LEAST_DOCUMENTS)
+
+
+def most_apart(counts: DataFrame, grades: np.ndarray, most: int) -> DataFrame:
+    """The ``most`` features that tell the known documents of these grades best apart, as ``fit`` would choose them; ``apart`` as a column."""
+    share, n = float((grades > 0).mean()) if len(grades) else 0.0, max(1, len(grades))
+
+    def by(name: str) -> Column:
+        holding, bad = F.col(f"{name}_n"), F.col(f"{name}_bad")
+        expected = holding * F.lit(share)
+        return F.when(holding >= LEAST_DOCUMENTS, F.abs(bad - expected) / F.sqrt(expected * (1 - holding / F.lit(n)) + 1)).otherwise(0.0)
+
+    ranked = counts.select("word", F.greatest(by("known"), by("twice")).alias("by")).filter("by > 0")
+    # hashes are unsigned, so negative numbers are the largest
+    return ranked.orderBy(F.col("by").desc(), F.col("word") < 0, "word").limit(most).select("word")
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -187,6 +207,7 @@ def train(
 ) -> Ordinal:
     """The model of a sample of ``sample`` labels. ``grade`` over the labels gives 0, 1, 2, ...; where it only
     tells 0 from 1, the documents of grade 1 are parted into ``levels`` grades. A fourth of the sample is held out to choose the cut."""
+    spark = docs.sparkSession
     graded = labels.select(F.col(doc_id).alias("id"), grade.cast("int").alias("grade")).na.drop().filter("grade >= 0")
     chosen = graded.groupBy("id").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
@@ -196,18 +217,30 @@ def train(
     rows = rows.groupBy("id").agg(F.first("grade").alias("grade"), F.min_by("text", F.xxhash64("text")).alias("text"))
     schema = T.StructType([rows.schema["id"], rows.schema["grade"]])
     schema.add("words", T.ArrayType(T.LongType())).add("twice", T.ArrayType(T.BooleanType()))
-    found = rows.mapInArrow(feature_sets, schema).toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])
+    sets = settle(rows.mapInArrow(feature_sets, schema), "features")
+    found = sets.select("id", "grade").toArrow().sort_by("id")
     if not len(found):
         return fit(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64))
-    sets, twice = found["words"].combine_chunks(), found["twice"].combine_chunks()
-    sizes = np.diff(sets.offsets.to_numpy())
-    hashes = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    flags = twice.flatten().to_numpy(zero_copy_only=False)
-    rows, grades = np.repeat(np.arange(len(sizes)), sizes), found["grade"].to_numpy().astype(np.int64)
+    grades = found["grade"].to_numpy().astype(np.int64)
     toxic = grades > 0
-    if grades.max() == 1:
-        grades = spread_grades(hashes, rows, flags, grades, levels)
     held = np.random.default_rng(0).random(len(grades)) < 0.25
+    numbers = found.select(["id"]).append_column("number", pa.array(np.arange(len(grades)))).append_column("held", pa.array(held))
+    pairs = sets.join(F.broadcast(spark.createDataFrame(numbers)), "id")
+    pairs = pairs.select("number", "grade", "held", F.inline(F.arrays_zip(F.col("words").alias("word"), "twice")))
+    counts = settle(feature_counts(pairs), "counts")
+    if grades.max() == 1:
+        marked = counts.filter((F.col("n") >= 5) & (F.col("bad") >= F.lit(0.9) * F.col("n"))).select("word")
+        holding = pairs.filter("grade > 0").join(marked, "word", "left_semi")
+        sums = holding.groupBy("number").agg(F.sum(1 + F.col("twice").cast("int")).alias("marks")).toArrow()
+        marks = np.zeros(len(grades))
+        marks[sums["number"].to_numpy()] = sums["marks"].to_numpy()
+        grades = spread_grades(marks, grades, levels)
+    # the driver gets the pairs of the screened features only
+    screened = most_apart(counts, grades[~held], most)
+    kept = pairs.select("number", "word", "twice").join(F.broadcast(screened), "word").toArrow()
+    rows, hashes, flags = kept["number"].to_numpy(), kept["word"].to_numpy().view(np.uint64), kept["twice"].to_numpy()
+    order = np.lexsort((hashes, rows))
+    rows, hashes, flags = rows[order], hashes[order], flags[order]
     known = ~held[rows]
     number = np.cumsum(~held) - 1
     model = fit(hashes[known], number[rows[known]], flags[known], grades[~held], most)

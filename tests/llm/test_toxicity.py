@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoptide.llm.queries import QUERIES
-from shoptide.llm.toxicity import Ordinal, drop_toxic, fit, grade_toxicity, train
+from shoptide.llm.toxicity import Ordinal, drop_toxic, feature_sets, fit, grade_toxicity, spread_grades, train
 from shoptide.llm.words import prefix_hashes, words_of
 
 BIG = "/root/testdata/sf0.1"
@@ -82,3 +82,46 @@ def test_repeated_ids_count_once(spark):
     often = train(spark.createDataFrame(repeated, schema), labels, F.col("toxic"))
     assert (once.words == often.words).all() and (once.weights == often.weights).all()
     assert (once.thresholds == often.thresholds).all() and once.cut == often.cut
+
+
+def test_the_driver_gets_only_screened_features(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [(i, f"{'vile ' * (1 + i % 3) if i % 4 == 0 else 'kind '}{' '.join(f'w{w}' for w in rng.integers(0, 4_000, 3_000))}") for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+    got, whole = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: got.append(whole(self)) or got[-1])
+    model = train(docs, labels, F.col("toxic"), most=32)
+    assert model.weights[0].max() > 0 and all(len(x) <= 32 * 120 for x in got)
+
+
+def plainly(texts, graded, levels=3, most=32):
+    """The model of all pairs of documents and features at once, and the held-out documents."""
+    batch = pa.RecordBatch.from_pydict({"id": list(texts), "grade": [graded[i] for i in texts], "text": list(texts.values())})
+    found = pa.Table.from_batches(feature_sets(iter([batch])))
+    rows = np.repeat(np.arange(len(found)), [len(x) for x in found["words"].to_pylist()])
+    hashes = found["words"].combine_chunks().flatten().to_numpy().view(np.uint64)
+    twice = found["twice"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    grades = np.array(found["grade"].to_pylist())
+    if grades.max() == 1:
+        marks = np.zeros(len(grades))
+        for word in set(hashes.tolist()):
+            those = hashes == word
+            if those.sum() >= 5 and (grades[rows[those]] > 0).sum() >= 0.9 * those.sum():
+                marks[rows[those]] += 1 + twice[those]
+        grades = spread_grades(marks, grades, levels)
+    held = np.random.default_rng(0).random(len(grades)) < 0.25
+    known, number = ~held[rows], np.cumsum(~held) - 1
+    return fit(hashes[known], number[rows[known]], twice[known], grades[~held], most)
+
+
+@pytest.mark.parametrize("grades", [2, 4])
+def test_screened_features_give_the_same_model(spark, grades):
+    rng = np.random.default_rng(grades)
+    graded = {i: int(rng.integers(0, grades)) for i in range(150)}
+    texts = {i: " ".join(f"w{w}" for w in rng.integers(0, 60, 20)) + " vile" * int(rng.integers(0, 1 + g)) for i, g in graded.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame(list(graded.items()), "doc_id long, grade int")
+    model, wanted = train(docs, labels, F.col("grade"), most=32), plainly(texts, graded)
+    assert len(wanted.words) and (model.words == wanted.words).all() and (model.weights == wanted.weights).all()
+    assert (model.thresholds == wanted.thresholds).all()
