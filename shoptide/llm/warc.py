@@ -8,7 +8,8 @@ returns the name and size. Only what successful tasks returned belongs to the ar
 Reading. Archives are cut into byte ranges. A task looks for the gzip magic in its range, tries each place by
 inflating a header there - compressed bytes can look like magic, but do not inflate to a WARC version line - and then reads
 members one after the other. It owns the members that start inside its range, and reads the last one to its end, beyond
-the range. A candidate counts if its whole header inflates and is one. A record's payload is held whole, an archive never.
+the range. A candidate counts if a WARC version line inflates there; what is wrong behind that line, in the header or the body, makes a damaged
+member. A record's payload is held whole, an archive never.
 
 The folder is reached with pyarrow's file systems, so it may be local to all, or an object store.
 
@@ -36,9 +37,8 @@ RANGE = 32 << 20
 READ = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
-PROBE = 1 << 16  # bytes that a header surely inflates from
+PROBE = 1 << 16  # bytes that a version line surely inflates from
 PIECE = 1 << 16
-STEP = 256  # a header is inflated no further than to its end, as damage behind it is for its reader to find
 
 RECORD = "page_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 FIELDS = [f.split()[0] for f in RECORD.split(", ")]
@@ -154,20 +154,14 @@ def fields_of(head: bytes) -> dict | None:
 
 
 def starts_record(data: bytes) -> bool:
-    """Whether these bytes inflate to a whole and valid header of a record."""
+    """Whether the version line of a record inflates from these bytes."""
     if not data.startswith(MAGIC):
         return False
-    unpacker, head = zlib.decompressobj(31), b""
     try:
-        while b"\r\n\r\n" not in head and data and not unpacker.eof:
-            head += unpacker.decompress(data, STEP)
-            data = unpacker.unconsumed_tail
-            if not head.startswith(VERSION[: len(head)]):
-                return False
+        # no further than that line, as damage behind it is for the member's reader to find
+        return zlib.decompressobj(31).decompress(data, len(VERSION)) == VERSION
     except zlib.error:
         return False
-    head, end, _ = head.partition(b"\r\n\r\n")
-    return bool(end) and fields_of(head) is not None
 
 
 def seek_record(window: Window, end: int) -> bool:
@@ -202,6 +196,8 @@ def inflate(window: Window) -> bytes:
 def parse(data: bytes) -> dict:
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = fields_of(head)
+    if fields is None:
+        raise ValueError("the header is not one of a record")
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     sizes = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])

@@ -68,3 +68,20 @@ def test_damaged_members_are_passed_over(spark, tmp_path):
         rows = warc.read_archives(spark.createDataFrame([(path, size - 5)], "path string, size long"), str(tmp_path), range_bytes).collect()
         assert sorted((r.page_id, r.url) for r in rows if r.record_type == "response") == [("2", "u 2"), ("3", "u 3")]
         assert sorted(r.refers_to for r in rows if r.record_type == "damaged") == sorted(f"{path}:{starts[k]}" for k in (0, 1, 4))
+
+
+def test_damaged_headers_are_reported(tmp_path):
+    members = [warc.member(warc.record(i, f"u {i}", b"p" * 500, hashlib.sha256(b"p" * 500).hexdigest(), None)) for i in range(3)]
+    unlike = warc.member(warc.VERSION + b"no field\r\n\r\n")
+    second = len(members[0])
+    # everywhere behind what the version line inflates from, and a header that is none
+    first = next(k for k in range(10, second) if warc.zlib.decompressobj(31).decompress(members[1][:k]).startswith(warc.VERSION)) + 8
+    broken = [members[1][:at] + bytes([members[1][at] ^ 0xFF]) + members[1][at + 1 :] for at in range(first, len(members[1]))]
+    store, _ = warc.file_system(str(tmp_path))
+    for n, middle in enumerate([*broken, unlike]):
+        path, data = f"{tmp_path}/{n}.warc.gz", members[0] + middle + members[2]
+        open(path, "wb").write(data)
+        for step in (len(data), 101):
+            rows = [r for at in range(0, len(data), step) for r in warc.records_in(store, path, len(data), at, at + step)]
+            assert [(r["record_type"], r["page_id"]) for r in rows] == [("response", "0"), ("damaged", None), ("response", "2")]
+            assert rows[1]["refers_to"] == f"{path}:{second}"
