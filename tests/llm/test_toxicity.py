@@ -92,7 +92,7 @@ def test_the_driver_gets_only_screened_features(spark, monkeypatch):
     got, whole = [], type(docs).toArrow
     monkeypatch.setattr(type(docs), "toArrow", lambda self: got.append(whole(self)) or got[-1])
     model = train(docs, labels, F.col("toxic"), most=32)
-    assert model.weights[0].max() > 0 and all(len(x) <= 32 * 120 for x in got)
+    assert model.weights[0].max() > 0 and all(x.nbytes <= 20 * 32 * 120 for x in got)
 
 
 def plainly(texts, graded, levels=3, most=32):
