@@ -20,6 +20,7 @@ from shoptide.plans.batch import run_batch
 from shoptide.plans.daily import daily_profile, daily_trending, update_partials
 from shoptide.plans.settle import checkpoint_root, settle, side_by_side
 from shoptide.schemas import ACTIVITY_MESSAGE
+from shoptide.session import stream_session
 from shoptide.sources.star import BAD, COMPLETED, EVENTS_TODAY, ORDERS_TODAY, StarTables
 from shoptide.sources.tables import read_message_files
 from shoptide.sources.views import read_snapshot, upsert_snapshot
@@ -264,7 +265,7 @@ def _shuffled_stream(spark: SparkSession, folder: str, name: str, **store) -> st
     each holds events of all times. The watermark is wider than the table."""
     inbox, target = _scratch(spark, f"{name}-in"), _scratch(spark, name)
     StarTables(spark, folder).messages.repartition(BATCHES, "value").write.text(inbox)
-    source = read_message_files(spark, inbox, max_files_per_trigger=1)
+    source = read_message_files(stream_session(spark), inbox, max_files_per_trigger=1)
     query = start_speed_layer(
         source, target, _scratch(spark, f"{name}-state"), {"availableNow": True}, watermark="1000 days", fan_in=2, **store
     )

@@ -20,6 +20,7 @@ _FOLDER = "_commits"
 
 class Commits:
     def __init__(self, spark: SparkSession, location: str):
+        self.spark = spark
         self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         self.location = location.rstrip("/")
         self._conf = spark._jsc.hadoopConfiguration()

@@ -276,3 +276,57 @@ def test_run_speed_layer_keeps_what_is_alive(spark, tmp_path):
     run_speed_layer(stream(spark, box), out, str(tmp_path / "state"), trigger=ONCE, watermark="1 day")
     assert {r["product_id"] for r in read_realtime_view(spark, out).collect()} == {"p"}
     assert FAN_IN > 1 and KEEP > 1
+
+
+def test_a_row_that_passes_several_levels_is_written_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Commits, "prune", lambda *_: None)
+    seen = []
+    for k in range(4):
+        seen.append(message(k % 3, product=f"p{k % 2}"))
+        upsert_realtime_view(scored(spark, *seen), k, str(tmp_path), fan_in=2)
+    # the second batch is merged with the first as it is written, the fourth with the third and what the second made
+    assert sorted(p.name.rsplit("-", 1)[0] for p in tmp_path.glob("*-*")) == ["batch-0", "batch-2", "merged-1", "merged-3"]
+    assert [f["level"] for f in state(spark, tmp_path)] == [2]
+    wanted = trailing_window(scored(spark, *seen))
+    assert sorted(read_realtime_view(spark, str(tmp_path)).select(wanted.columns).collect()) == sorted(wanted.collect())
+
+
+def test_rows_of_a_window_meet_in_a_slice_of_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shoptide.streaming.view.TASK_ROWS", 20)
+    rows = lambda views: [(f"u{i}", None, "n", "c", views, 0, 0, 0.2, 3600 * (i % 2) + 60 + i // 200) for i in range(300)]
+    for batch_id, views in enumerate([1, 3, 2, 1]):
+        upsert_realtime_view(spark.createDataFrame(rows(views), REALTIME_VIEW), batch_id, str(tmp_path), fan_in=2)
+    assert len(list(tmp_path.glob("merged-3-*/slice=*/*.parquet"))) > 20
+    found = read_windows(spark, str(tmp_path))
+    assert sorted(map(tuple, found.select(*REALTIME_VIEW.names).collect())) == sorted(rows(3))
+    on_disk = spark.read.parquet(*(f"{tmp_path}/{f['path']}" for f in state(spark, tmp_path)))
+    assert on_disk.count() == 300
+
+
+def test_registered_streams_keep_their_state_off_the_heap(spark, tmp_path, monkeypatch):
+    from shoptide.plans import queries as Q
+
+    moment = datetime(2024, 1, 30, 12)
+    events = [(i, moment - timedelta(minutes=i), i % 3, "view", '{"k": %d}' % (i % 2)) for i in range(20)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, props string").write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    parts = [(0, "n", "b", 1.0), (1, None, "b", 1.0)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_retailprice double").write.parquet(
+        str(tmp_path / "part.parquet")
+    )
+    started = []
+
+    def start(*args, **options):
+        started.append(start_speed_layer(*args, **options))
+        return started[-1]
+
+    monkeypatch.setattr(Q, "start_speed_layer", start)
+    before = spark.conf.getAll
+    found = Q.speed_layer_batches(spark, str(tmp_path))
+    assert found.count() == 6
+    told = [o.customMetrics for p in started[0].recentProgress for o in p.stateOperators]
+    assert told and all("rocksdbPutCount" in metrics for metrics in told)
+    # a key is looked up once, not a second time to count the rows of the state
+    assert all(metrics["rocksdbGetCount"] <= metrics["rocksdbPutCount"] for metrics in told)
+    assert spark.conf.getAll == before
