@@ -60,13 +60,12 @@ def trailing_window(scored: DataFrame, trail_seconds: int = TRAIL_SECONDS) -> Da
     An event is in all windows that end up to ``trail_seconds`` after the first one it is in. The
     first of those reaches back the full window; the last would hold only the newest minute.
     """
-    key = Window.partitionBy("user_id", "product_id")
-    newest = F.max("computed_time").over(key)
-    order = key.orderBy("computed_time", "product_name", "category")
+    order = Window.partitionBy("user_id", "product_id").orderBy("computed_time", "product_name", "category")
+    # all on one sort: the first row that is not more than the trail older than the newest
+    newest = F.max("computed_time").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    older = F.lag("computed_time").over(order)
     return (
-        scored.withColumn("_newest", newest)
-        .filter(F.col("computed_time") >= F.col("_newest") - trail_seconds)
-        .withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") == 1)
-        .drop("_newest", "_place")
+        scored.withColumns({"_oldest": newest - trail_seconds, "_older": older})
+        .filter((F.col("computed_time") >= F.col("_oldest")) & (F.col("_older").isNull() | (F.col("_older") < F.col("_oldest"))))
+        .drop("_oldest", "_older")
     )

@@ -174,12 +174,16 @@ def latest_windows(deltas: DataFrame, keep_batch: bool = False, key: Sequence[st
 
 def read_windows(spark: SparkSession, target: str, after: int | None = None) -> DataFrame:
     """All windows stored at ``target``, one row each; with ``after`` only those that end later, from the slices that hold such."""
+    return latest_windows(_stored(spark, target, after))
+
+
+def _stored(spark: SparkSession, target: str, after: int | None) -> DataFrame:
     commits = Commits(spark, target)
     found = commits.latest()
     folders = found[1]["folders"] if found else []
     if after is not None and found:
         folders = [f for f in folders if (f["slice"] + 1) * found[1]["slice_seconds"] > after]
-    return latest_windows(_unexpired(_read(commits, [f["path"] for f in folders]), after))
+    return _unexpired(_read(commits, [f["path"] for f in folders]), after)
 
 
 def read_realtime_view(
@@ -191,11 +195,12 @@ def read_realtime_view(
 ) -> DataFrame:
     """The view at ``target``: per user and product the window right after the newest event, chosen over all
     stored windows; with ``as_of`` without the rows that have expired by then."""
-    if as_of is None:
-        return trailing_window(read_windows(spark, target), trail_seconds)
     # a row that is alive has nothing older than its trail to be chosen over
-    recent = read_windows(spark, target, _seconds(as_of) - ttl_seconds - trail_seconds)
-    return expire_realtime_view(trailing_window(recent, trail_seconds), as_of, ttl_seconds)
+    after = None if as_of is None else _seconds(as_of) - ttl_seconds - trail_seconds
+    # a window's rows and a key's windows are chosen on one shuffle and one sort
+    windows = latest_windows(_stored(spark, target, after).repartition("user_id", "product_id"))
+    view = trailing_window(windows, trail_seconds)
+    return view if as_of is None else expire_realtime_view(view, as_of, ttl_seconds)
 
 
 def _seconds(moment: date | datetime | int) -> int:

@@ -303,6 +303,31 @@ def test_rows_of_a_window_meet_in_a_slice_of_many_tasks(spark, tmp_path, monkeyp
     assert on_disk.count() == 300
 
 
+def test_the_view_is_read_on_one_shuffle_and_one_sort(spark, tmp_path):
+    upsert_realtime_view(scored(spark, message(0), message(3)), 0, str(tmp_path))
+    plan = read_realtime_view(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(" Exchange ") == 1 and plan.count(" Sort ") == 1
+
+
+def test_trailing_window_by_brute_force(spark):
+    schema = "user_id string, product_id string, product_name string, category string, trend_score double, computed_time long"
+    rows = [
+        (user, product, name, category, 1.0, 60 * minute)
+        for user in ("u", None)
+        for k, product in enumerate(("p", "q", None))
+        for name in (None, "a", "b")[: k + 1]
+        for category in ("y", None, "x")[: 3 - k]
+        for minute in range(k, 40, 3 if name else 7)
+    ]
+    wanted = set()
+    for user, product in {r[:2] for r in rows}:
+        own = [r for r in rows if r[:2] == (user, product)]
+        recent = [r for r in own if r[5] >= max(r[5] for r in own) - 240]
+        wanted.add(min(recent, key=lambda r: (r[5], r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")))
+    found = trailing_window(spark.createDataFrame(rows, schema).repartition(5)).collect()
+    assert {tuple(r) for r in found} == wanted and len(found) == len(wanted) == 6
+
+
 def test_registered_streams_keep_their_state_off_the_heap(spark, tmp_path, monkeypatch):
     from shoptide.plans import queries as Q
 
